@@ -22,6 +22,25 @@ PAIRS_AT_ONCE = 4_000_000
 FLUSH_ROWS = 1_000_000
 
 
+def tile_sessions(rows: DataFrame, tile: int, item: str = "_item") -> tuple[DataFrame, bool]:
+    """Spread the items of wide sessions over ``_tiles`` tiles of about ``tile`` items.
+
+    Also tells whether there are wide sessions at all.
+    """
+    wide = materialise(
+        rows.groupBy(SESSION)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > tile)
+        .select(SESSION, F.ceil(F.col("_n") / tile).cast("int").alias("_tiles"))
+    )
+    if has_at_most(wide, 0):
+        return rows.withColumns({"_tiles": F.lit(1), "_tile": F.lit(0)}), False
+    tiled = rows.join(bounded_side(wide), SESSION, "left").withColumn(
+        "_tiles", F.coalesce("_tiles", F.lit(1))
+    )
+    return tiled.withColumn("_tile", F.pmod(F.xxhash64(item), F.col("_tiles")).cast("int")), True
+
+
 def pair_sums(
     entries: DataFrame, item: str, weight: str | None = None, group: str | None = None, tile: int = TILE
 ) -> DataFrame:
@@ -34,19 +53,7 @@ def pair_sums(
     key = F.col(group) if group else F.lit(0)
     rows = entries.select(key.alias("_group"), SESSION, F.col(item).alias("_item"), value.alias("_w"))
     rows = materialise(rows)
-    wide = materialise(
-        rows.groupBy(SESSION)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > tile)
-        .select(SESSION, F.ceil(F.col("_n") / tile).cast("int").alias("_tiles"))
-    )
-    if has_at_most(wide, 0):
-        tiled = rows.withColumns({"_tiles": F.lit(1), "_tile": F.lit(0)})
-    else:
-        tiled = rows.join(bounded_side(wide), SESSION, "left").withColumn(
-            "_tiles", F.coalesce("_tiles", F.lit(1))
-        )
-        tiled = tiled.withColumn("_tile", F.pmod(F.xxhash64("_item"), F.col("_tiles")).cast("int"))
+    tiled, any_wide = tile_sessions(rows, tile)
     tiles = tiled.groupBy("_group", SESSION, "_tiles", "_tile").agg(
         F.collect_list(F.struct("_item", "_w")).alias("_e")
     )
@@ -57,7 +64,7 @@ def pair_sums(
         F.slice("_e._item", 1, 0).alias("right_items"),
         F.slice("_e._w", 1, 0).alias("right_w"),
     )
-    if not has_at_most(wide, 0):
+    if any_wide:
         many = tiles.filter(F.col("_tiles") > 1)
         # each tile meets every later tile of its session, keyed by the later one
         earlier = many.filter(F.col("_tile") < F.col("_tiles") - 1).select(
@@ -139,8 +146,7 @@ def batch_pairs(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         low, high = np.minimum(a, b).astype(np.int64), np.maximum(a, b).astype(np.int64)
         key = (groups[owner].astype(np.int64) * len(names) + low) * len(names) + high
         found, back = np.unique(key, return_inverse=True)
-        total = np.zeros(len(found), dtype=np.int64)
-        np.add.at(total, back, w)
+        total = np.bincount(back, weights=w, minlength=len(found)).astype(np.int64)
         yield pd.DataFrame(
             {
                 "_group": group_names[found // len(names) // len(names)],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trailmill.plans import explore_queries, sequence_queries  # noqa: F401
+from trailmill.plans import explore_queries, recommend_queries, sequence_queries  # noqa: F401
 from trailmill.plans.registry import QUERIES, SQL
 
 

@@ -47,14 +47,17 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def bounded_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def bounded_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
     """Materialise a join side and mark it for broadcast only if it is small.
 
     A larger side is returned plain: it then reaches the join through its own
-    exchange, which is the shape adaptive execution can split on a hot key.
+    exchange, which is the shape adaptive execution can split on a hot key. A loop
+    that keeps the row count may pass the outcome of its first check as ``small``.
     """
     side = materialise(df)
-    return F.broadcast(side) if has_at_most(side, max_rows) else side
+    if small is None:
+        small = has_at_most(side, max_rows)
+    return F.broadcast(side) if small else side
 
 
 def span_of(position: str | Column, span: int = SPAN) -> Column:

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from trailmill.plans import explore_queries, recommend_queries, sequence_queries  # noqa: F401
+from trailmill.plans import (  # noqa: F401
+    explore_queries,
+    model_queries,
+    recommend_queries,
+    sequence_queries,
+)
 from trailmill.plans.registry import QUERIES, SQL
 
 

@@ -51,13 +51,13 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV sink; nested columns are written as JSON text."""
+    """CSV sink; nested columns are written as JSON text, quotes doubled."""
     nested = (T.ArrayType, T.MapType, T.StructType)
     flat = [
         F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name)
         for f in df.schema
     ]
-    df.select(*flat).write.mode("overwrite").csv(path, header=True)
+    df.select(*flat).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
 def rows_frame(spark: SparkSession, rows: Sequence[tuple], columns: str) -> DataFrame:

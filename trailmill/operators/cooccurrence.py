@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmill.scale import bounded_side, has_at_most, materialise
+from trailmill.scale import bounded_side, counted, materialise
 from trailmill.schema import SESSION
 
 TILE = 512
@@ -27,13 +27,13 @@ def tile_sessions(rows: DataFrame, tile: int, item: str = "_item") -> tuple[Data
 
     Also tells whether there are wide sessions at all.
     """
-    wide = materialise(
+    wide, n_wide = counted(
         rows.groupBy(SESSION)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > tile)
         .select(SESSION, F.ceil(F.col("_n") / tile).cast("int").alias("_tiles"))
     )
-    if has_at_most(wide, 0):
+    if n_wide == 0:
         return rows.withColumns({"_tiles": F.lit(1), "_tile": F.lit(0)}), False
     tiled = rows.join(bounded_side(wide), SESSION, "left").withColumn(
         "_tiles", F.coalesce("_tiles", F.lit(1))

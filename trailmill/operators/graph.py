@@ -8,7 +8,16 @@ from pyspark.sql import functions as F
 
 from trailmill.functions.aggregates import smallest_mode
 from trailmill.operators.sequences import transition_counts
-from trailmill.scale import BROADCAST_ROWS, bounded_side, exact_percentiles, has_at_most, materialise
+from trailmill.scale import (
+    BROADCAST_ROWS,
+    bounded_side,
+    counted,
+    exact_percentiles,
+    has_at_most,
+    hinted,
+    materialise,
+    watched,
+)
 from trailmill.schema import ITEM, ORDER, SESSION
 
 
@@ -55,8 +64,8 @@ def pagerank(vertices: DataFrame, edges: DataFrame, rounds: int = 100, reset: fl
     links = materialise(edges.select("src", "dst"))
     degrees = links.groupBy("src").agg((1.0 / F.count(F.lit(1))).alias("share"))
     links = materialise(links.join(bounded_side(degrees), "src"))
-    ids = materialise(vertices.select("id").distinct())
-    small = has_at_most(ids, BROADCAST_ROWS)
+    ids, size = counted(vertices.select("id").distinct())
+    small = size <= BROADCAST_ROWS
     ranks = bounded_side(ids.withColumn("rank", F.lit(1.0)), small=small)
     for _ in range(rounds):
         gained = (
@@ -70,7 +79,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, rounds: int = 100, reset: fl
         ranks = bounded_side(fresh, small=small)
     leaks = ids.join(links.select(F.col("src").alias("id")).distinct(), "id", "left_anti")
     if not has_at_most(leaks, 0):
-        total, size = ranks.agg(F.sum("rank"), F.count(F.lit(1))).first()
+        total = ranks.agg(F.sum("rank")).first()[0]
         ranks = ranks.withColumn("rank", F.col("rank") * F.lit(size / total))
     return ranks
 
@@ -82,29 +91,29 @@ def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) ->
     label one step, which shortens long chains quickly. Stops when nothing changes.
     """
     links = materialise(both_ends(edges).filter(F.col("id") != F.col("other")).distinct())
-    labels = materialise(vertices.select("id", F.col("id").alias("component")).distinct())
-    small = has_at_most(labels, BROADCAST_ROWS)
-    labels = bounded_side(labels, small=small)
+    labels, size = counted(vertices.select("id", F.col("id").alias("component")).distinct())
+    small = size <= BROADCAST_ROWS
     for _ in range(max_rounds):
         near = (
-            links.join(labels, F.col("other") == labels["id"])
-            .groupBy(links["id"])
+            links.join(hinted(labels, small).withColumnRenamed("id", "other"), "other")
+            .groupBy("id")
             .agg(F.min("component").alias("near"))
         )
-        lower = bounded_side(
+        lower = materialise(
             labels.join(near, "id", "left").select(
                 "id", "component", F.least("component", "near").alias("lower")
-            ),
-            small=small,
+            )
         )
-        jump = lower.select(F.col("id").alias("lower"), F.col("lower").alias("root"))
-        moved = materialise(
+        jump = hinted(lower, small).select(F.col("id").alias("lower"), F.col("lower").alias("root"))
+        changed = F.count_if(F.col("old") != F.col("component"))
+        moved, changes = watched(
             lower.join(jump, "lower", "left").select(
                 "id", F.col("component").alias("old"), F.least("lower", "root").alias("component")
-            )
+            ),
+            changed,
         )
-        labels = bounded_side(moved.select("id", "component"), small=small)
-        if has_at_most(moved.filter(F.col("old") != F.col("component")), 0):
+        labels = moved.select("id", "component")
+        if changes == 0:
             return labels
     raise RuntimeError(f"components still change after {max_rounds} rounds")
 
@@ -141,19 +150,18 @@ def triangles(edges: DataFrame) -> DataFrame:
 def label_propagation(vertices: DataFrame, edges: DataFrame, rounds: int = 10) -> DataFrame:
     """Every vertex takes the most frequent label around it; the smallest one on ties."""
     links = materialise(both_ends(edges))
-    labels = materialise(vertices.select("id", F.col("id").alias("label")).distinct())
-    small = has_at_most(labels, BROADCAST_ROWS)
-    labels = bounded_side(labels, small=small)
+    labels, size = counted(vertices.select("id", F.col("id").alias("label")).distinct())
+    small = size <= BROADCAST_ROWS
     for _ in range(rounds):
         votes = (
-            links.join(labels.withColumnRenamed("id", "other"), "other")
+            links.join(hinted(labels, small).withColumnRenamed("id", "other"), "other")
             .groupBy("id", "label")
             .agg(F.count(F.lit(1)).alias("votes"))
             .groupBy("id")
             .agg(smallest_mode("label", "votes").alias("voted"))
         )
         fresh = labels.join(votes, "id", "left").select("id", F.coalesce("voted", "label").alias("label"))
-        labels = bounded_side(fresh, small=small)
+        labels = materialise(fresh)
     return labels
 
 
@@ -164,7 +172,7 @@ def power_iteration(edges: DataFrame, k: int = 10, rounds: int = 50) -> DataFram
         .agg(F.sum("weight").alias("weight"))
         .filter(F.col("weight") > 0)
     )
-    model = PowerIterationClustering(k=k, maxIter=rounds, weightCol="weight", initMode="degree")
+    model = PowerIterationClustering(k=k, maxIter=rounds, weightCol="weight", initMode="random")
     return model.assignClusters(pairs)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 
 from trailmill.functions.arrays import unit
 from trailmill.operators.sequences import next_click
-from trailmill.scale import SPAN, bounded_side, with_halo
+from trailmill.scale import SPAN, bounded_side, counted, materialise, span_of
 from trailmill.schema import ITEM, ORDER, SESSION
 
 
@@ -53,50 +52,102 @@ def prefix_pool(
     """Pooled vector of every prefix that has a next click.
 
     An item occurrence weighs decay ^ (prefix end - first position of the item), and
-    weights are normalised to 1 per prefix. One scan in click order carries the
-    decayed sum from click to click, so prefixes are never built. Sessions are cut
-    into spans; each span first reads the clicks before it whose weight is not yet
-    zero in double precision.
+    weights are normalised per prefix. The prefix end cancels in the normalised
+    weights, so one scan in click order keeps a running sum with the newest first
+    position as its unit, and neither builds prefixes nor underflows. A session longer
+    than ``span`` clicks is scanned span by span; each span starts from the merged sums
+    of the spans before it.
     """
-    if not 0 < decay < 1:
+    if not 0 < decay <= 1:
         raise ValueError("decay must lie between 0 and 1")
-    reach = math.ceil(-745 / math.log(decay)) + 1
     rows = next_click(clicks, item, 1).select(SESSION, ORDER, item, "next")
-    firsts = rows.groupBy(SESSION, item).agg(F.min(ORDER).alias("_first"))
-    known = vectors.select(item, F.col("vector").cast("array<float>").alias("vector"))
-    wide = (
+    firsts = rows.groupBy(SESSION, item).agg(F.min(ORDER).cast("long").alias("_first"))
+    scanned = materialise(
         rows.join(bounded_side(firsts), [SESSION, item])
-        .join(bounded_side(known), item, "left")
-        .withColumn("_age", F.col(ORDER) - F.col("_first"))
-        .drop(item, "_first")
+        .join(bounded_side(vectors.select(item, "vector")), item, "left")
+        .withColumn("_span", span_of(ORDER, span))
+        .withColumn("_mass", F.when(F.col("vector").isNotNull(), 1.0))
+        .select(SESSION, "_span", ORDER, "next", "_first", "_mass", "vector")
     )
-    spans = with_halo(wide, ORDER, before=min(reach, span), span=span)
-    ordered = spans.repartition(SESSION, "_span").sortWithinPartitions(SESSION, "_span", ORDER)
-    types = dict(rows.dtypes)
-    out = f"{SESSION} {types[SESSION]}, {ORDER} {types[ORDER]}, next {types['next']}, vector array<double>"
+    types = dict(scanned.dtypes)
+    state = f"{SESSION} {types[SESSION]}, _span long, _first long, _mass double, vector array<double>"
+
+    def in_order(df: DataFrame) -> DataFrame:
+        return df.repartition(SESSION, "_span").sortWithinPartitions(SESSION, "_span", ORDER)
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, at, total, mass = None, 0, None, 0.0
+    def pool(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, sums = None, DecayedSums(decay)
         for batch in batches:
             pooled = []
-            for session, part, order, age, vector in zip(
-                batch[SESSION], batch["_span"], batch[ORDER], batch["_age"], batch["vector"]
-            ):
-                if (session, part) != key:
-                    key, at, total, mass = (session, part), order, None, 0.0
-                fade = decay ** (order - at)
-                at = order
-                mass *= fade
-                if total is not None:
-                    total = total * fade
+            for *at, first, mass, vector in zip(*(batch[c] for c in (SESSION, "_span", "_first", "_mass", "vector"))):
+                if at != key:
+                    key, sums = at, DecayedSums(decay)
                 if vector is not None:
-                    gain = decay**age
-                    mass += gain
-                    fresh = np.asarray(vector, dtype=np.float64) * gain
-                    total = fresh if total is None else total + fresh
-                pooled.append(total / mass if mass > 0 else None)
-            batch = batch[[SESSION, ORDER, "next", "_own"]].assign(vector=pooled)
-            keep = batch["_own"] & batch["next"].notna() & batch["vector"].notna()
+                    sums.add(first, mass, vector)
+                pooled.append(sums.mean())
+            batch = batch.assign(vector=pooled)
+            keep = batch["next"].notna() & batch["vector"].notna()
             yield batch.loc[keep, [SESSION, ORDER, "next", "vector"]]
 
-    return ordered.mapInPandas(scan, out)
+    def span_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, sums = None, DecayedSums(decay)
+        for batch in batches:
+            done = []
+            for *at, first, mass, vector in zip(*(batch[c] for c in (SESSION, "_span", "_first", "_mass", "vector"))):
+                if at != key:
+                    done += sums.row(key)
+                    key, sums = at, DecayedSums(decay)
+                if vector is not None:
+                    sums.add(first, mass, vector)
+            yield pd.DataFrame(done, columns=[SESSION, "_span", "_first", "_mass", "vector"])
+        yield pd.DataFrame(sums.row(key), columns=[SESSION, "_span", "_first", "_mass", "vector"])
+
+    def carries(spans: pd.DataFrame) -> pd.DataFrame:
+        """What each span of one session starts from; one input row per span."""
+        ends = {
+            number: state
+            for number, *state in zip(*(spans[c] for c in ("_span", "_first", "_mass", "vector")))
+        }
+        sums, out = DecayedSums(decay), []
+        for number in range(int(spans["_last"].iloc[0]) + 1):
+            out += sums.row([spans[SESSION].iloc[0], number])
+            if number in ends:
+                sums.add(*ends[number])
+        return pd.DataFrame(out, columns=[SESSION, "_span", "_first", "_mass", "vector"])
+
+    long_sessions = scanned.groupBy(SESSION).agg(F.max("_span").alias("_last")).filter(F.col("_last") > 0)
+    long_sessions, n_long = counted(long_sessions)
+    started = scanned
+    if n_long:
+        side = bounded_side(long_sessions)
+        totals = in_order(scanned.join(side.select(SESSION), SESSION, "left_semi")).mapInPandas(span_sums, state)
+        starts = totals.join(side, SESSION).groupBy(SESSION).applyInPandas(carries, state)
+        blank = {ORDER: F.lit(0).cast(types[ORDER]), "next": F.lit(None).cast(types["next"])}
+        started = scanned.unionByName(starts.withColumns(blank))
+    out = f"{SESSION} {types[SESSION]}, {ORDER} {types[ORDER]}, next {types['next']}, vector array<double>"
+    return in_order(started).mapInPandas(pool, out)
+
+
+class DecayedSums:
+    """Weighted vector sum whose unit is the weight of the newest first position."""
+
+    def __init__(self, decay: float):
+        self.decay, self.newest, self.mass, self.total = decay, 0, 0.0, None
+
+    def add(self, first: int, mass: float, vector) -> None:
+        fresh = np.asarray(vector, dtype=np.float64)
+        if self.total is None:
+            self.newest, self.mass, self.total = first, mass, fresh * 1.0
+            return
+        if first > self.newest:
+            fade = self.decay ** (first - self.newest)
+            self.newest, self.mass, self.total = first, self.mass * fade, self.total * fade
+        gain = self.decay ** (self.newest - first)
+        self.mass += mass * gain
+        self.total = self.total + fresh * gain
+
+    def mean(self):
+        return None if self.total is None else self.total / self.mass
+
+    def row(self, key) -> list[tuple]:
+        return [] if self.total is None else [(*key, self.newest, self.mass, self.total)]

@@ -15,7 +15,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
@@ -43,6 +43,19 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``materialise`` with the row count, taken while the rows are written."""
+    return watched(df, F.count(F.lit(1)))
+
+
+def watched(df: DataFrame, measure: Column) -> tuple[DataFrame, int]:
+    """``materialise`` with one whole-number aggregate taken on the way."""
+    checkpoint_dir(df.sparkSession)
+    watch = Observation()
+    written = df.observe(watch, measure.alias("measure")).checkpoint(eager=True)
+    return written, watch.get["measure"] or 0
+
+
 def has_at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
@@ -54,9 +67,13 @@ def bounded_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, small: bool | No
     exchange, which is the shape adaptive execution can split on a hot key. A loop
     that keeps the row count may pass the outcome of its first check as ``small``.
     """
-    side = materialise(df)
-    if small is None:
-        small = has_at_most(side, max_rows)
+    if small is not None:
+        return hinted(materialise(df), small)
+    side, rows = counted(df)
+    return hinted(side, rows <= max_rows)
+
+
+def hinted(side: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(side) if small else side
 
 

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmill.functions.aggregates import exact_mean, share
-from trailmill.scale import exact_percentiles
+from trailmill.functions.aggregates import code_count, exact_mean, share
+from trailmill.scale import exact_percentiles, materialise
 from trailmill.schema import ITEM, SESSION
 
 
@@ -17,8 +17,8 @@ def dataset_totals(clicks: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("clicks"),
         F.count_distinct(SESSION).alias("sessions"),
         F.count_distinct(ITEM).alias("products"),
-        F.count_distinct("category").alias("categories"),
-        F.count_distinct("country").alias("countries"),
+        code_count("category").alias("categories"),
+        code_count("country").alias("countries"),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
         exact_mean("price").alias("avg_price"),
@@ -102,6 +102,7 @@ def price_preference(clicks: DataFrame, keys: Sequence[str] = (), premium: str =
 
 def session_depth(features: DataFrame) -> DataFrame:
     """Mean and median clicks and deepest page, and the page-1-only share."""
+    features = materialise(features.select("n_clicks", "max_page"))
     row = features.agg(
         exact_mean("n_clicks").alias("avg_clicks"),
         exact_mean("max_page").alias("avg_max_page"),
@@ -148,6 +149,8 @@ def sparsity(clicks: DataFrame) -> DataFrame:
 
 
 def session_shares(features: DataFrame) -> DataFrame:
+    """Single-click and multi-category shares, and mean, median and longest session."""
+    features = materialise(features.select("n_clicks", "n_categories"))
     row = features.agg(
         share(F.col("n_clicks") == 1).alias("single_click_share"),
         share(F.col("n_categories") > 1).alias("multi_category_share"),

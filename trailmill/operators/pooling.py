@@ -60,7 +60,7 @@ def prefix_pool(
     """
     if not 0 < decay <= 1:
         raise ValueError("decay must lie between 0 and 1")
-    rows = next_click(clicks, item, 1).select(SESSION, ORDER, item, "next")
+    rows = materialise(next_click(clicks, item, 1).select(SESSION, ORDER, item, "next"))
     firsts = rows.groupBy(SESSION, item).agg(F.min(ORDER).cast("long").alias("_first"))
     scanned = materialise(
         rows.join(bounded_side(firsts), [SESSION, item])

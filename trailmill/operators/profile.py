@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailmill.functions.aggregates import exact_mean, smallest_mode
-from trailmill.scale import exact_percentiles
+from trailmill.scale import exact_percentiles, materialise
 from trailmill.schema import ITEM, SESSION
 
 
@@ -38,6 +38,8 @@ def group_modes(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
 
 def group_profile(df: DataFrame, group: str) -> DataFrame:
     """Price statistics, size, page depth and photo share of each group."""
+    used = [group, SESSION, "price", "page", "photo_type", ITEM, "category", "colour", "country"]
+    df = materialise(df.select(used))
     stats = df.groupBy(group).agg(
         F.count(F.lit(1)).alias("events"),
         F.count_distinct(SESSION).alias("sessions"),

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from trailmill.scale import SPAN, bounded_side, materialise, span_of, with_next
 from trailmill.schema import ITEM, ORDER, SESSION
 
+# Control characters, which attribute values do not contain.
+SEPARATOR = "\x1f"
+NULL_TEXT = "\x00"
+
 
 def token_id(attributes: Sequence[str]) -> Column:
     """Token id from the attribute values themselves.
@@ -21,8 +25,8 @@ def token_id(attributes: Sequence[str]) -> Column:
     The same attributes give the same id in every run and every data set, so
     tokenising needs neither a shuffle nor a join.
     """
-    values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in attributes]
-    return F.md5(F.concat_ws("|", *values))
+    values = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_TEXT)) for c in attributes]
+    return F.md5(F.concat_ws(SEPARATOR, *values))
 
 
 def tokens(clicks: DataFrame, attributes: Sequence[str]) -> DataFrame:

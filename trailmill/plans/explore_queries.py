@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from trailmill import schema as S
 from trailmill.functions import scalars
+from trailmill.functions.aggregates import code_count
 from trailmill.operators import explore, profile, quality, sessions
 from trailmill.plans.registry import mean_sql, on_baskets, on_clicks, query
 from trailmill.sources.tables import baskets, click_facts, clicks
@@ -586,7 +587,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     per = clicks(spark, sf_dir).groupBy("session_id").agg(
-        F.count(F.lit(1)).alias("n_clicks"), F.count_distinct("category").alias("n_categories")
+        F.count(F.lit(1)).alias("n_clicks"), code_count("category").alias("n_categories")
     )
     return explore.session_shares(per)
 

@@ -389,13 +389,15 @@ def _(spark, sf_dir):
 @query("als_recs")
 def _(spark, sf_dir):
     t = track(spark, sf_dir)
-    return factors.als_recs(factors.fit_als(t.train), t.train)
+    numbers = materialise(factors.session_numbers(t.train))
+    return factors.als_recs(factors.fit_als(t.train, numbers), numbers, t.train)
 
 
 @query("als_foldin")
 def _(spark, sf_dir):
     t = track(spark, sf_dir)
-    items = factors.factor_frame(factors.fit_als(t.train).itemFactors, "item_idx")
+    model = factors.fit_als(t.train, factors.session_numbers(t.train))
+    items = factors.factor_frame(model.itemFactors, "item_idx")
     return factors.fold_in_recs(t.history, items, t.history)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from types import SimpleNamespace
+from functools import cached_property
 
 from pyspark.sql import functions as F
 
@@ -226,22 +226,50 @@ KNN_CTE = TRACK_CTE + "," + SIM_CTE + "," + _ranked_sql("knn", KNN)
 BOTH_CTE = KNN_CTE + "," + _ranked_sql("popular", POPULAR)
 
 
+class Track:
+    """Temporal train and test frames; each is written on first use and then read back."""
+
+    def __init__(self, spark, sf_dir):
+        self.raw = clicks(spark, sf_dir)
+
+    @cached_property
+    def split(self):
+        used = ["session_id", "click_order", "item_id", "item_no", "click_date"]
+        parted = splits.temporal_split(materialise(self.raw.select(used)), CUTOFF)
+        return materialise(parted.drop("click_date"))
+
+    @cached_property
+    def index(self):
+        return materialise(recommend.item_index(self.split))
+
+    @property
+    def train_clicks(self):
+        return self.split.filter("in_train")
+
+    @cached_property
+    def train(self):
+        return materialise(recommend.interactions(self.train_clicks, self.index))
+
+    @cached_property
+    def held(self):
+        return materialise(splits.leave_last_out(self.split.filter("not in_train").drop("in_train")))
+
+    @property
+    def context(self):
+        return splits.context(self.held)
+
+    @cached_property
+    def truth(self):
+        found = splits.ground_truth(self.held).join(self.index, "item_id")
+        return materialise(found.select("session_id", "item_idx", "is_cold"))
+
+    @cached_property
+    def history(self):
+        return materialise(recommend.interactions(self.context, self.index))
+
+
 def track(spark, sf_dir):
-    """Temporal train and test frames, each written once."""
-    split = materialise(splits.temporal_split(clicks(spark, sf_dir), CUTOFF))
-    index = materialise(recommend.item_index(split))
-    train_clicks = split.filter("in_train")
-    held = splits.leave_last_out(split.filter("not in_train"))
-    truth = splits.ground_truth(held).join(index, "item_id").select("session_id", "item_idx", "is_cold")
-    context = materialise(splits.context(held))
-    return SimpleNamespace(
-        index=index,
-        train_clicks=train_clicks,
-        train=materialise(recommend.interactions(train_clicks, index)),
-        truth=materialise(truth),
-        context=context,
-        history=materialise(recommend.interactions(context, index)),
-    )
+    return Track(spark, sf_dir)
 
 
 @query("item_index", on_clicks("select * from idx", INDEX_CTE))

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trailmill.operators import frequency, rules, sequences, splits
+from trailmill.operators.cooccurrence import pair_sums
 from trailmill.plans.registry import on_baskets, on_clicks, query
+from trailmill.scale import materialise
 from trailmill.sources.tables import baskets, click_facts, clicks
 
 TOKEN_COLUMNS = ["category", "item_id", "colour", "location", "photo_type"]
-TOKEN_SQL = "md5(concat_ws('|', category, item_id, colour, location, photo_type))"
+TOKEN_SQL = "md5(concat_ws(chr(31), category, item_id, colour, location, photo_type))"
 CUTOFF = "2024-01-20"
 
 
@@ -344,7 +346,5 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    from trailmill.operators.cooccurrence import pair_sums
-
-    entries = clicks(spark, sf_dir).select("session_id", "item_id").distinct()
+    entries = materialise(clicks(spark, sf_dir).select("session_id", "item_id").distinct())
     return pair_sums(entries, "item_id", tile=8)

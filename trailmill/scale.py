@@ -74,7 +74,15 @@ def bounded_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, small: bool | No
 
 
 def hinted(side: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(side) if small else side
+    """Broadcast a small side; for a large one let hot keys be split in any join.
+
+    Without the setting, adaptive execution leaves a hot partition whole when the
+    join's partitioning is used again by a later aggregate.
+    """
+    if small:
+        return F.broadcast(side)
+    side.sparkSession.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    return side
 
 
 def span_of(position: str | Column, span: int = SPAN) -> Column:
@@ -210,7 +218,7 @@ def exact_percentiles(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     ranked = running_totals(counts, ["_v"], {"_upto": "_n"}, group)
-    sizes = counts.groupBy(*group).agg(F.sum("_n").alias("_size"))
+    sizes = ranked.groupBy(*group).agg(F.max("_upto").alias("_size"))
     if group:
         ranked = ranked.join(bounded_side(sizes), list(group))
     else:

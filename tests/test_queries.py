@@ -21,6 +21,8 @@ def test_matches_sql(spark, db, name):
     found = db.execute(SQL[name])
     theirs = normal([d[0] for d in found.description], found.fetchall())
     assert compare(mine, theirs) == ""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
 def test_every_sql_has_a_query():

@@ -62,7 +62,7 @@ def mass_items(ranked: DataFrame, mass: float = 0.5) -> DataFrame:
     """How many of the most clicked items stay within a share of all clicks."""
     total = ranked.agg(F.sum("clicks")).first()[0]
     within = F.col("clicks_upto").cast("double") / F.lit(total) <= mass
-    return ranked.agg(F.count_if(within).alias("items"), F.lit(total).alias("clicks"))
+    return ranked.agg(F.count_if(within).alias("items"), F.lit(total).cast("long").alias("clicks"))
 
 
 def top_bottom(ranked: DataFrame, n: int = 10) -> DataFrame:

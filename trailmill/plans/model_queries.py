@@ -88,8 +88,8 @@ def _(spark, sf_dir):
 @query(
     "cosine_retrieval",
     on_clicks(
-        """select session_id, item_no as item_idx, score, rank from (select *, row_number() over
-        (partition by session_id order by score desc, item_no) as rank from (
+        """select session_id, item_no as item_idx, score, rank from (select *, cast(row_number() over
+        (partition by session_id order by score desc, item_no) as int) as rank from (
           select session_id, item_no, round(list_dot_product(q, v)
             / (sqrt(list_dot_product(q, q)) * sqrt(list_dot_product(v, v))), 9) as score
           from (select session_id, list(x order by dim) as q from pooled group by session_id), vecs
@@ -139,8 +139,8 @@ def _(spark, sf_dir):
 @query(
     "prefix_retrieval",
     on_clicks(
-        """select session_id, item_no as item_idx, score, rank from (select *, row_number() over
-        (partition by session_id order by score desc, item_no) as rank from (
+        """select session_id, item_no as item_idx, score, rank from (select *, cast(row_number() over
+        (partition by session_id order by score desc, item_no) as int) as rank from (
           select session_id, vecs.item_no, round(list_dot_product(q, v)
             / (sqrt(list_dot_product(q, q)) * sqrt(list_dot_product(v, v))), 9) as score
           from (select session_id, click_order, list(x order by dim) as q from pooled
@@ -258,7 +258,7 @@ def _(spark, sf_dir):
     "vector_arithmetic",
     """with p as (select vec_id, unnest(cast(embedding as double[])) as x from embeddings)
     select vec_id, round(sqrt(sum(x * x)), 8) as length, round(sum((x * 2 + x) * x), 8) as triple,
-    1.0 as self_cosine from p group by vec_id""",
+    cast(1 as double) as self_cosine from p group by vec_id""",
 )
 def _(spark, sf_dir):
     v = F.col("vector")
@@ -505,7 +505,7 @@ def _(spark, sf_dir):
 @query(
     "profile_csv",
     on_clicks(
-        """select cast(location as int) as location, to_json(list_sort(list(distinct cast(colour as varchar)))) as colour_set
+        """select cast(location as int) as location, cast(to_json(list_sort(list(distinct cast(colour as varchar)))) as varchar) as colour_set
         from clicks group by location"""
     ),
 )

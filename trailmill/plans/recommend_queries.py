@@ -160,7 +160,7 @@ def _(spark, sf_dir):
     on_clicks(
         """select session_id, n1, n2, n3, next, round(score, 9) as score, rank from (
         select session_id, n1, n2, n3, dst as next, weight as score,
-        row_number() over (partition by session_id order by weight desc, dst) as rank
+        cast(row_number() over (partition by session_id order by weight desc, dst) as int) as rank
         from tails join edges on n3 = src
         where exists (from edges e where e.src = n1 and e.dst = n2)
           and exists (from edges e where e.src = n2 and e.dst = n3)) where rank <= 10""",
@@ -197,7 +197,7 @@ history as (select session_id, item_idx, count(*) as click_count, any_value(is_c
 
 SIM_CTE = """
 norms as (select item_idx, sum(click_count * click_count) as n2 from train group by item_idx),
-sims as (select * from (select *, row_number() over (partition by seed_idx order by similarity desc, target_idx)
+sims as (select * from (select *, cast(row_number() over (partition by seed_idx order by similarity desc, target_idx) as int)
     as neighbour_rank from (
   select a.item_idx as seed_idx, b.item_idx as target_idx,
     cast(sum(a.click_count * b.click_count) as double) / sqrt(cast(na.n2 as double) * cast(nb.n2 as double)) as similarity
@@ -210,7 +210,7 @@ def _ranked_sql(name, scores):
     """Top 10 of a (session_id, item_idx, score) select, seen items removed."""
     return f"""
 {name} as (select session_id, item_idx, score, rank from (
-  select *, row_number() over (partition by session_id order by score desc, item_idx) as rank from (
+  select *, cast(row_number() over (partition by session_id order by score desc, item_idx) as int) as rank from (
     select session_id, item_idx, round(score, 9) as score from ({scores}) s
     where not exists (from ctx where ctx.session_id = s.session_id and ctx.item_idx = s.item_idx)))
   where rank <= 10)"""

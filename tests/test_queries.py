@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from check_queries import compare, connect, normal
+from trailmill import scale
 
 SF_DIR = "/root/testdata/sf0.001"
 SQL = contract.oracle_sql()
@@ -45,3 +46,21 @@ def test_partition_count_does_not_matter(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert results[0] == results[1] == results[2]
+
+
+LARGE_SIDES = ["components", "item_similarity", "knn_recs", "label_prop_3", "markov_recs", "pagerank_5", "prefix_pool",
+               "session_summary", "tfidf_long", "tokenised_clicks", "transitions", "triangles", "davies_bouldin"]
+
+
+@pytest.mark.parametrize("name", LARGE_SIDES)
+def test_sides_too_large_to_broadcast(spark, db, monkeypatch, name):
+    monkeypatch.setattr(scale, "BROADCAST_ROWS", -1)
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for limit in limits:
+        spark.conf.set(limit, "-1")
+    try:
+        test_matches_sql(spark, db, name)
+    finally:
+        for limit in limits:
+            spark.conf.unset(limit)
+        spark.conf.unset("spark.sql.adaptive.forceOptimizeSkewedJoin")

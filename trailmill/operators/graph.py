@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from trailmill.functions.aggregates import smallest_mode
 from trailmill.operators.sequences import transition_counts
 from trailmill.scale import (
-    BROADCAST_ROWS,
     bounded_side,
     counted,
     exact_percentiles,
     has_at_most,
     hinted,
+    is_small,
     materialise,
     watched,
 )
@@ -65,7 +65,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, rounds: int = 100, reset: fl
     degrees = links.groupBy("src").agg((1.0 / F.count(F.lit(1))).alias("share"))
     links = materialise(links.join(bounded_side(degrees), "src"))
     ids, size = counted(vertices.select("id").distinct())
-    small = size <= BROADCAST_ROWS
+    small = is_small(size)
     ranks = bounded_side(ids.withColumn("rank", F.lit(1.0)), small=small)
     for _ in range(rounds):
         gained = (
@@ -92,7 +92,7 @@ def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) ->
     """
     links = materialise(both_ends(edges).filter(F.col("id") != F.col("other")).distinct())
     labels, size = counted(vertices.select("id", F.col("id").alias("component")).distinct())
-    small = size <= BROADCAST_ROWS
+    small = is_small(size)
     for _ in range(max_rounds):
         near = (
             links.join(hinted(labels, small).withColumnRenamed("id", "other"), "other")
@@ -151,7 +151,7 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, rounds: int = 10) -
     """Every vertex takes the most frequent label around it; the smallest one on ties."""
     links = materialise(both_ends(edges))
     labels, size = counted(vertices.select("id", F.col("id").alias("label")).distinct())
-    small = size <= BROADCAST_ROWS
+    small = is_small(size)
     for _ in range(rounds):
         votes = (
             links.join(hinted(labels, small).withColumnRenamed("id", "other"), "other")

@@ -299,7 +299,7 @@ def knn(spark, sf_dir):
     return recommend.knn_recs(t.history, recommend.item_similarity(t.train), t.history)
 
 
-COLD_CTE = TRACK_CTE + "," + SIM_CTE + "," + _ranked_sql("cold", KNN.replace("join sims", "join sims").replace("from history", "from (select * from history where is_cold) h"))
+COLD_CTE = TRACK_CTE + "," + SIM_CTE + "," + _ranked_sql("cold", KNN.replace("from history", "from (select * from history where is_cold) h"))
 
 
 @query("cold_recs", on_clicks("select * from cold", COLD_CTE))
@@ -429,3 +429,36 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     t = track(spark, sf_dir)
     return evaluate.most_viewed(t.train, t.index).select("item_idx", "item_id", "clicks")
+
+
+COLD_BOTH_CTE = (
+    TRACK_CTE.replace("truth as (", "all_truth as (").replace(
+        "ctx as (", "truth as (select * from all_truth where is_cold),\nctx as ("
+    )
+    + ","
+    + SIM_CTE
+    + ","
+    + _ranked_sql("knn", KNN.replace("from history", "from (select * from history where is_cold) h"))
+    + ","
+    + _ranked_sql("popular", POPULAR)
+)
+
+
+@query(
+    "cold_metrics",
+    on_clicks(
+        f"select 'knn' as model, * from ({_metrics_sql('knn')}) union all select 'popularity', * from ({_metrics_sql('popular')})",
+        COLD_BOTH_CTE,
+    ),
+)
+def _(spark, sf_dir):
+    t = track(spark, sf_dir)
+    truth = materialise(t.truth.filter("is_cold"))
+    history = materialise(t.history.join(truth.select("session_id"), "session_id", "left_semi"))
+    knn = recommend.knn_recs(history, recommend.item_similarity(t.train), history)
+    popular = recommend.popularity_recs(truth, t.train, history)
+    frames = [
+        evaluate.rank_metrics(recs, truth).withColumn("model", F.lit(name))
+        for name, recs in (("knn", knn), ("popularity", popular))
+    ]
+    return _rounded(frames[0].unionByName(frames[1]))

@@ -60,7 +60,11 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def bounded_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
+def is_small(rows: int) -> bool:
+    return rows <= BROADCAST_ROWS
+
+
+def bounded_side(df: DataFrame, max_rows: int | None = None, small: bool | None = None) -> DataFrame:
     """Materialise a join side and mark it for broadcast only if it is small.
 
     A larger side is returned plain: it then reaches the join through its own
@@ -70,7 +74,7 @@ def bounded_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, small: bool | No
     if small is not None:
         return hinted(materialise(df), small)
     side, rows = counted(df)
-    return hinted(side, rows <= max_rows)
+    return hinted(side, is_small(rows) if max_rows is None else rows <= max_rows)
 
 
 def hinted(side: DataFrame, small: bool) -> DataFrame:

@@ -516,7 +516,7 @@ def _(spark, sf_dir):
     return spark.read.schema(layout).options(header=True, escape='"').csv(path)
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", on_clicks("select distinct session_id, true as same from clicks"))
 def _(spark, sf_dir):
     rows = materialise(sessions.session_label(sessions.session_summary(clicks(spark, sf_dir, premium=True))))
     path = fresh_folder(spark)

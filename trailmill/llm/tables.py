@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
 BLANKS = " \t\n\x0b\x0c\r"
 #: Java pattern of a run of blanks, that is of what separates two words.
@@ -40,9 +40,13 @@ def word_count(text: Column) -> Column:
     return F.length(F.ltrim(marked, F.lit(BLANKS))).cast("long")
 
 
-ARROW_TYPES = {
-    "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(),
-    "array<int>": pa.list_(pa.int32()),
+TYPES = {
+    "long": (T.LongType(), pa.int64()),
+    "double": (T.DoubleType(), pa.float64()),
+    "boolean": (T.BooleanType(), pa.bool_()),
+    "string": (T.StringType(), pa.string()),
+    "binary": (T.BinaryType(), pa.binary()),
+    "array<int>": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
 }
 
 
@@ -52,14 +56,13 @@ def mapped(df: DataFrame, given: str, work: Callable[[pa.Array], list], added: d
     ``work`` gets the column of an Arrow batch and returns one list per new column.
     """
     kept = [c for c in df.columns if c != given]
-    schema = StructType([df.schema[c] for c in kept])
-    for name, kind in added.items():
-        schema = schema.add(name, kind)
+    schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(n, TYPES[k][0]) for n, k in added.items()])
+    kinds = [TYPES[k][1] for k in added.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = work(batch.column(given))
-            arrays = [pa.array(v, type=ARROW_TYPES[k]) for v, k in zip(found, added.values(), strict=True)]
+            arrays = [pa.array(v, type=k) for v, k in zip(found, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *arrays], [*kept, *added])
 
     return df.mapInArrow(run, schema)

@@ -44,7 +44,7 @@ def edited(text, edits, rnd):
     return " ".join(words)
 
 
-@pytest.mark.parametrize("block", [4, 256])
+@pytest.mark.parametrize("block", [4, 1_024])
 def test_equal_to_brute_force(spark, block):
     rnd, texts = random.Random(5), [t for t in odd_texts() if len(t or "") < 50_000]
     for n in (3, 5, 9, 10, 11, 12, 19, 20, 21, 28, 40, 60, 120, 170, 400):

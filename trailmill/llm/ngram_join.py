@@ -30,11 +30,13 @@ from pyspark.sql import functions as F
 from trailmill.llm.components import components
 from trailmill.llm.storage import stored
 from trailmill.llm.tables import let, words
-from trailmill.scale import bounded_side
+from trailmill.scale import bounded_side, hinted
 
 WIDTH = 3
 PERCENT = 90
-BLOCK = 256
+BLOCK = 1_024
+#: Most keys (16 bytes each) that are sent to all tasks.
+SENT_KEYS = 2_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -209,9 +211,10 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bl
     )
     entries = rows.select("node", F.explode("keys").alias("key"))
     ends = entries.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("most"))
-    coarse = entries.join(ends.where("b < most").drop("most"), "key").select(F.col("node").alias("a"), "b")
+    shared = stored(ends.where("b < most").drop("most"), "keys")
+    coarse = entries.join(hinted(shared, shared.count() <= SENT_KEYS), "key").select(F.col("node").alias("a"), "b")
     groups = components(coarse)
-    members = blocked(groups, block).join(nodes.select("node", "row"), "node")
+    members = bounded_side(blocked(groups, block).join(nodes.select("node", "row"), "node"))
     sets = (
         docs.select(row_key().alias("row"), "text")
         .join(members, "row")

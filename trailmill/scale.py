@@ -78,15 +78,12 @@ def bounded_side(df: DataFrame, max_rows: int | None = None, small: bool | None
 
 
 def hinted(side: DataFrame, small: bool) -> DataFrame:
-    """Broadcast a small side; for a large one let hot keys be split in any join.
+    """Broadcast a small side; leave a large one plain.
 
-    Without the setting, adaptive execution leaves a hot partition whole when the
-    join's partitioning is used again by a later aggregate.
+    Where a later aggregate uses the partitioning of the join again, adaptive execution splits a hot
+    partition only with ``spark.sql.adaptive.forceOptimizeSkewedJoin``, which is for the caller to set.
     """
-    if small:
-        return F.broadcast(side)
-    side.sparkSession.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-    return side
+    return F.broadcast(side) if small else side
 
 
 def span_of(position: str | Column, span: int = SPAN) -> Column:

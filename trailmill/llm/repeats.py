@@ -10,7 +10,10 @@ extension of ``length - r`` bytes is the same repeat each other, those where it
 every occurrence its longest and its shortest reach to the left inside a repeated string, and these
 two bound all bytes that such strings cover there, since they overlap.
 
-Anchors with more contexts than ``GROUP`` are not gathered: the range of reaches is halved, and each half keyed by the longer
+Contexts that occur whole more than once repeat in all their strings and go on as one row with their number, so groups of
+near copies shrink to their distinct contexts before any are gathered.
+
+Anchors with more distinct contexts than ``GROUP`` are not gathered: the range of reaches is halved, and each half keyed by the longer
 string that all its members must share. Most contexts then stand alone and drop out; halving goes on until groups
 are small or the key is the whole repeated string, whose count alone decides.
 
@@ -110,9 +113,9 @@ def context_rows(rows: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {c: [] for c in ("key", "n", "tid", "place", "copies", "left", "right", "context")}
-            columns = (batch.column(c).to_pylist() for c in ("tid", "data", "copies", "places", "keys", "counts"))
-            for tid, data, copies, places, keys, counts in zip(*columns, strict=True):
-                for place, key, n in zip(places, keys, counts, strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("tid", "data", "places", "keys", "counts", "weights"))
+            for tid, data, places, keys, counts, weights in zip(*columns, strict=True):
+                for place, key, n, copies in zip(places, keys, counts, weights, strict=True):
                     left, right = min(place, reach), min(len(data) - place, length)
                     out["key"].append(key)
                     out["n"].append(n)
@@ -126,7 +129,7 @@ def context_rows(rows: DataFrame, length: int, gram: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], list(out))
 
     schema = "key long, n long, tid binary, place int, copies long, left int, right int, context binary"
-    return rows.select("tid", "data", "copies", "places", "keys", "counts").mapInArrow(run, schema)
+    return rows.select("tid", "data", "places", "keys", "counts", "weights").mapInArrow(run, schema)
 
 
 def classes(sort_keys: np.ndarray, group: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -221,6 +224,7 @@ def all_spans(contexts: DataFrame, length: int, gram: int, group: int) -> DataFr
     found = small_spans(rows.where(F.col("n") <= group), length, gram)
     large = rows.where(F.col("n") > group)
     while not large.isEmpty():
+        # one row per distinct context is left, so what is still here differs around the anchor
         split = halved(large, length, gram)
         sizes = split.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("_all")).where("_all > 1").drop("_all")
         split = stored(split.join(sizes, "key"), "contexts")
@@ -251,12 +255,46 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
         F.first("row").alias("_rep"), F.first("copies").alias("copies"), F.sort_array(F.collect_list(F.struct("place", "key", "n"))).alias("_a")
     )
     shared = stored(
-        shared.select("tid", "_rep", "copies", *(F.col(f"_a.{a}").alias(b) for a, b in (("place", "places"), ("key", "keys"), ("n", "counts")))), "shared"
+        shared.select(
+            "tid", "_rep", F.col("_a.place").alias("places"), F.col("_a.key").alias("keys"), F.col("_a.n").alias("counts"),
+            F.transform("_a", lambda _: F.col("copies")).alias("weights"),
+        ),
+        "shared",
+    )
+    contexts = context_rows(texts_of(texts, shared), length, gram)
+    marks = stored(
+        contexts.select("key", "tid", "place", "copies", "left", "right", F.xxhash64("context").alias("code")), "contexts"
+    )
+    same = ("key", "code", "left", "right")
+    kinds = stored(
+        marks.groupBy(*same).agg(F.min(F.struct("tid", "place")).alias("rep"), F.sum("copies").alias("copies")), "kinds"
+    )
+    whole = whole_contexts(marks, kinds.where("copies > 1").select(*same), length, gram)
+    sizes = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    left = kinds.join(sizes, "key").select("key", "n", "copies", F.col("rep.tid").alias("tid"), F.col("rep.place").alias("place"))
+    packed = left.groupBy("tid").agg(F.sort_array(F.collect_list(F.struct("place", "key", "n", "copies"))).alias("_a"))
+    names = (("place", "places"), ("key", "keys"), ("n", "counts"), ("copies", "weights"))
+    packed = packed.join(shared.select("tid", "_rep"), "tid").select(
+        "tid", "_rep", *(F.col(f"_a.{x}").alias(y) for x, y in names)
     )
-    positions = shared.agg(F.sum(F.size("places")).alias("n")).first()["n"] or 0
-    reps = texts.join(hinted(shared, positions <= SENT_POSITIONS), "tid").where(F.col("row") == F.col("_rep"))
-    contexts = stored(context_rows(reps, length, gram), "contexts")
-    return all_spans(contexts, length, gram, group)
+    distinct = stored(context_rows(texts_of(texts, stored(packed, "open")), length, gram), "distinct")
+    return whole.union(all_spans(distinct, length, gram, group))
+
+
+def texts_of(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """One text per tid of ``places`` with its columns."""
+    positions = places.agg(F.sum(F.size("places")).alias("n")).first()["n"] or 0
+    rows = texts.join(hinted(places, positions <= SENT_POSITIONS), "tid")
+    return rows.where(F.col("row") == F.col("_rep"))
+
+
+def whole_contexts(marks: DataFrame, kinds: DataFrame, length: int, gram: int) -> DataFrame:
+    """Spans of contexts that occur whole a second time: all strings through the anchor repeat there."""
+    both = marks.join(kinds, ["key", "code", "left", "right"])
+    low = F.greatest(F.lit(0), length - F.col("right"))
+    high = F.least(F.lit(length - gram), F.col("left"))
+    begin, end = F.col("place") - high, F.col("place") - low + length
+    return both.where(low <= high).select("tid", begin.cast("long").alias("begin"), end.cast("long").alias("end"))
 
 
 def text_id() -> Column:

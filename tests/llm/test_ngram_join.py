@@ -78,7 +78,7 @@ def test_one_stays_per_component(spark):
 
 def test_linked_sets_share_a_class():
     rnd = np.random.default_rng(3)
-    starts, classes = ngram_join.bands(90, 5000)
+    table = ngram_join.bands(90, 5000)
     for size in [9, 10, 17, 18, 30, 52, 53, 84, 85, 90, 300, 2000]:
         for _ in range(40):
             common = rnd.integers(-(2**62), 2**62, size)
@@ -88,5 +88,5 @@ def test_linked_sets_share_a_class():
             b = np.unique(np.concatenate([common[both:], rnd.integers(-(2**62), 2**62, both - left)]))
             inter = len(np.intersect1d(a, b))
             if 100 * inter >= 90 * (len(a) + len(b) - inter):
-                keys = [set(ngram_join.class_keys(x, 90, starts, classes).tolist()) for x in (a, b)]
+                keys = [set(ngram_join.class_keys(x, 90, *table).tolist()) for x in (a, b)]
                 assert keys[0] & keys[1]

@@ -52,20 +52,20 @@ def shingles(text: Column, width: int = WIDTH) -> Column:
     return let(words(F.translate(text, UPPER, LOWER)), windows)
 
 
-def bands(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray]:
-    """First size of each band, and its number of hash classes.
+def bands(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and last size of each band of sizes, its number of hash classes, and the fewest tokens that index a class.
 
-    Classes can be empty. Linked sets agree in a class with tokens as long as more than d classes have some, which
-    fails for a set with a chance below 10^-12 at these numbers; ``class_keys`` checks it.
+    Linked sets agree in an indexed class as long as more than d classes hold so many tokens, which fails
+    for a set with a chance below 10^-12 at these numbers; ``class_keys`` checks it.
     """
-    starts, classes = [1], []
-    while starts[-1] <= largest:
-        after = starts[-1] * 8 // 5 + 1
-        differing = (after - 1) * (100 - percent) // percent
-        fine = {0: 1, 1: 32, 2: 24}.get(differing, 4 * (differing + 1) if differing < 9 else 3 * (differing + 1) // 2 + 1)
-        classes.append(fine)
-        starts.append(after)
-    return np.array(starts[:-1] or [1]), np.array(classes or [1])
+    rows, first = [], 1
+    while first <= largest:
+        last = max(first, first * 23 // 20)
+        d = last * (100 - percent) // percent
+        many = 4 * (d + 1) if d < 9 else 3 * (d + 1) // 2 + 3 if d < 20 else 5 * (d + 1) // 4 + 3
+        rows.append((first, last, {0: 1, 1: 32, 2: 24}.get(d, many), 1 if d < 40 else 2 if d < 60 else 3))
+        first = last + 1
+    return tuple(np.array(x) for x in zip(*rows, strict=True))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -75,25 +75,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def class_keys(tokens: np.ndarray, percent: int, starts: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Keys of a set: one per class with tokens, in its own band and in the one below if a link can reach there."""
+def class_keys(tokens: np.ndarray, percent: int, firsts, lasts, classes, fewest) -> np.ndarray:
+    """Keys of a set: one per indexed class, in its own band and in the one below if a link can reach there."""
     size = len(tokens)
     if not size:
         return np.zeros(0, dtype=np.int64)
     mixed = mix(tokens.view(np.uint64))
-    own = int(np.searchsorted(starts, size, side="right")) - 1
+    own = int(np.searchsorted(firsts, size, side="right")) - 1
     wanted = [own]
-    if own and size * percent <= 100 * int(starts[own] - 1):
+    if own and size * percent <= 100 * int(lasts[own - 1]):
         wanted.append(own - 1)
     keys = []
     for band in wanted:
         number = int(classes[band])
-        place = (mixed >> np.uint64(32)) * np.uint64(number) >> np.uint64(32)
+        place = ((mixed >> np.uint64(32)) * np.uint64(number) >> np.uint64(32)).astype(np.int64)
         sums = np.zeros(number, dtype=np.uint64)
-        np.add.at(sums, place.astype(np.int64), mix(mixed))
-        held = np.unique(place)
-        if len(held) <= min(size, int(starts[band] * 8 // 5)) * (100 - percent) // percent:
-            raise ValueError("too many empty token classes; use another hash of the tokens")
+        np.add.at(sums, place, mix(mixed))
+        held = np.flatnonzero(np.bincount(place, minlength=number) >= fewest[band]).astype(np.uint64)
+        if len(held) <= min(size, int(lasts[band])) * (100 - percent) // percent:
+            raise ValueError("too few token classes are filled; use another hash of the tokens")
         keys.append(mix(sums[held.astype(np.int64)] + held * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band)))
     return np.concatenate(keys).view(np.int64)
 
@@ -109,11 +109,11 @@ def indexed(docs: DataFrame, width: int, percent: int) -> DataFrame:
     sets = docs.select("doc_id", row_key().alias("row"), shingles(F.col("text"), width).alias("tokens"))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts, classes = bands(percent, 1 << 40)
+        table = bands(percent, 1 << 40)
         for batch in batches:
             column = batch.column("tokens")
             values, ends = column.values.to_numpy(), column.offsets.to_numpy()
-            keys = [class_keys(values[a:b], percent, starts, classes) for a, b in zip(ends, ends[1:], strict=False)]
+            keys = [class_keys(values[a:b], percent, *table) for a, b in zip(ends, ends[1:], strict=False)]
             places = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(

@@ -62,6 +62,30 @@ def test_leave_last_out(clicks_of):
     assert rows(splits.context(held), "session_id", "item_id") == [(1, "A"), (1, "B")]
 
 
+def with_gaps(clicks_of, sessions, gap):
+    """Clicks whose item is null where it says so."""
+    clicks = clicks_of(sessions)
+    return clicks.withColumns({c: F.when(F.col("item_id") != gap, F.col(c)) for c in ("item_no", "item_id")})
+
+
+def test_leave_last_out_with_null_items(clicks_of):
+    held = splits.leave_last_out(with_gaps(clicks_of, {1: "A X B", 2: "A X"}, "X"))
+    assert rows(held.filter("is_truth"), "session_id", "click_order", "item_id") == [(1, 3, "B"), (2, 2, None)]
+
+
+def test_leave_last_out_over_missing_positions(clicks_of):
+    held = splits.leave_last_out(clicks_of({1: "A B C D"}).filter("click_order != 3"))
+    assert rows(held, "click_order", "is_truth") == [(1, False), (2, False), (4, True)]
+
+
+@pytest.mark.parametrize("item", ["item_id", "item_no"])
+def test_null_items_make_no_pairs(clicks_of, item):
+    clicks = with_gaps(clicks_of, {1: "A X B", 2: "A C", 3: "X"}, "X").withColumn("g", F.lit(1))
+    names = {"item_id": ("A", "B", "C"), "item_no": (0, 1, 2)}[item]
+    got = rules.pair_rules(clicks, item, "g")
+    assert rows(got, "item_a", "item_b", "pair_count", "sessions") == [(names[0], names[1], 1, 2), (names[0], names[2], 1, 2)]
+
+
 def test_transitions_count_self_moves_in_the_total(clicks_of):
     got = sequences.transitions(clicks_of({1: "A A B"}))
     assert rows(got, "src", "dst", "moves", "weight") == [("A", "B", 1, 0.5)]

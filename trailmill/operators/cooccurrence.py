@@ -47,12 +47,13 @@ def pair_sums(
     """Sum of weight products per unordered item pair, as (group, item_a, item_b, total).
 
     ``entries`` holds each (session, item) once; it is read twice, so pass a written
-    frame where it is costly. Without weights the sum counts shared
+    frame where it is costly. Null items make no pairs. Without weights the sum counts shared
     sessions. ``item_a`` < ``item_b``; weights are whole numbers, so sums are exact.
     """
     value = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     key = F.col(group) if group else F.lit(0)
     rows = entries.select(key.alias("_group"), SESSION, F.col(item).alias("_item"), value.alias("_w"))
+    rows = rows.filter(F.col("_item").isNotNull())
     tiled, any_wide = tile_sessions(rows, tile)
     tiles = tiled.groupBy("_group", SESSION, "_tiles", "_tile").agg(
         F.collect_list(F.struct("_item", "_w")).alias("_e")

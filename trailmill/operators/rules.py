@@ -12,8 +12,8 @@ from trailmill.schema import SESSION
 
 
 def basket_entries(clicks: DataFrame, item: str, group: str) -> DataFrame:
-    """Distinct (group, session, item) rows."""
-    return clicks.select(group, SESSION, item).distinct()
+    """Distinct (group, session, item) rows; clicks without an item are in no basket."""
+    return clicks.filter(F.col(item).isNotNull()).select(group, SESSION, item).distinct()
 
 
 def pair_rules(clicks: DataFrame, item: str, group: str) -> DataFrame:

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmill.operators.sequences import next_click
 from trailmill.scale import bounded_side
-from trailmill.schema import ITEM, ORDER, SESSION
+from trailmill.schema import ORDER, SESSION
 
 
 def hash_fraction(key: str | Column, seed: int) -> Column:
@@ -40,9 +39,14 @@ def temporal_split(clicks: DataFrame, cutoff: str, date: str = "click_date") ->
     return clicks.join(bounded_side(firsts), SESSION)
 
 
-def leave_last_out(clicks: DataFrame, item: str = ITEM) -> DataFrame:
-    """Add ``is_truth``: true on the last click of a session, false on its context."""
-    return next_click(clicks, item).withColumn("is_truth", F.col("next").isNull()).drop("next")
+def leave_last_out(clicks: DataFrame) -> DataFrame:
+    """Add ``is_truth``: true on the last click of a session, false on its context.
+
+    The order alone decides, so null items and gaps in the order do not matter.
+    """
+    lasts = clicks.groupBy(F.col(SESSION).alias("_session")).agg(F.max(ORDER).alias("_last"))
+    joined = clicks.join(lasts, F.col(SESSION).eqNullSafe(F.col("_session")))
+    return joined.withColumn("is_truth", F.col(ORDER) == F.col("_last")).drop("_session", "_last")
 
 
 def ground_truth(held_out: DataFrame, min_context: int = 1) -> DataFrame:

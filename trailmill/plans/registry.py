@@ -24,7 +24,7 @@ o as (
   select *, cast(row_number() over (partition by user_id, sn order by us, event_id) as int) as click_order
   from s),
 clicks as (
-  select cast(user_id * 1000 + sn as bigint) as session_id, click_order,
+  select cast(user_id::bigint * 1000000000 + sn as bigint) as session_id, click_order,
          cast(user_id % 47 + 1 as int) as country, event_type as category,
          concat('K', cast(k as varchar)) as item_id, k as item_no,
          cast(k % 14 + 1 as int) as colour, cast(k % 6 + 1 as int) as location,

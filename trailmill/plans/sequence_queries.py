@@ -26,6 +26,18 @@ def _(spark, sf_dir):
     return splits.leave_last_out(clicks(spark, sf_dir)).select("session_id", "click_order", "item_id", "is_truth")
 
 
+@query(
+    "leave_last_out_gaps",
+    on_clicks(
+        """select session_id, click_order, nullif(item_id, 'K7') as item_id,
+        click_order = max(click_order) over (partition by session_id) as is_truth from clicks"""
+    ),
+)
+def _(spark, sf_dir):
+    gaps = clicks(spark, sf_dir).withColumn("item_id", F.nullif("item_id", F.lit("K7")))
+    return splits.leave_last_out(gaps).select("session_id", "click_order", "item_id", "is_truth")
+
+
 @query(
     "next_click",
     on_clicks(
@@ -348,3 +360,16 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     entries = materialise(clicks(spark, sf_dir).select("session_id", "item_id").distinct())
     return pair_sums(entries, "item_id", tile=8)
+
+
+@query(
+    "pair_counts_gaps",
+    on_clicks(
+        """select a.item_id as item_a, b.item_id as item_b, count(*) as total from gaps a join gaps b
+        on a.session_id = b.session_id and a.item_id < b.item_id group by all""",
+        "gaps as (select distinct session_id, nullif(item_id, 'K7') as item_id from clicks)",
+    ),
+)
+def _(spark, sf_dir):
+    gaps = clicks(spark, sf_dir).select("session_id", F.nullif("item_id", F.lit("K7")).alias("item_id"))
+    return pair_sums(materialise(gaps.distinct()), "item_id")

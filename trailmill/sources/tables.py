@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from trailmill.scale import bounded_side, dense_position
 
 SESSION_GAP_US = 86_400_000_000
+#: More sessions than a user can have, as they are a day apart; ids of two users never meet.
+SESSIONS_A_USER = 1_000_000_000
 MINUTE_US = 60_000_000
 
 
@@ -61,7 +63,7 @@ def clicks(spark: SparkSession, sf_dir: str, premium: bool = False) -> DataFrame
         facts.join(minutes, ["user_id", "minute"])
         .withColumn("click_order", order)
         .select(
-            (F.col("user_id") * 1000 + F.col("session_no")).alias("session_id"),
+            (F.col("user_id").cast("long") * SESSIONS_A_USER + F.col("session_no")).alias("session_id"),
             "click_order",
             "country",
             "category",

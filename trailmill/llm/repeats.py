@@ -14,8 +14,9 @@ Contexts that occur whole more than once repeat in all their strings and go on a
 near copies shrink to their distinct contexts before any are gathered.
 
 Anchors with more distinct contexts than ``GROUP`` are not gathered: the range of reaches is halved, and each half keyed by the longer
-string that all its members must share. Most contexts then stand alone and drop out; halving goes on until groups
-are small or the key is the whole repeated string, whose count alone decides.
+string that all its members must share. Contexts that agree in every byte such a half can touch repeat there in all their
+strings and go on as one; those that then stand alone drop out. Halving goes on until groups are small, at the
+latest when a half is one reach and its key the whole repeated string.
 
 Defined cases: a null text is empty; texts below ``length`` bytes are never cut; equal texts are read once and count by
 their number; null ids and repeated rows are rows like any other; other columns are not read.
@@ -36,10 +37,13 @@ from trailmill.scale import hinted
 
 LENGTH = 400
 GRAM = 100
-GROUP = 2_000
+#: Most contexts of one anchor in a task: 7 MB of bytes, no more than a task holds of small groups.
+GROUP = 10_000
 BATCH = 20_000
 #: Most positions of a join side that is sent to all tasks: 12 bytes each.
 SENT_POSITIONS = 2_000_000
+#: Most rows with keys that are sent to all tasks: 56 bytes each.
+SENT_ROWS = 300_000
 BYTE_CODES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
 STEP = 0x9E3779B97F4A7C15
 _powers: dict[str, np.ndarray] = {}
@@ -208,14 +212,25 @@ def small_spans(rows: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def halved(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """Both halves of the reaches of each row, keyed by the bytes that all strings of that half share."""
+    """Both halves of the reaches of each row, keyed by the bytes that all strings of that half share.
+
+    ``least`` and ``most`` are the reaches that the text of the row allows, ``code`` stands for all bytes they touch.
+    """
     reach = length - gram
     middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
     halves = F.array(F.struct(F.col("low").alias("low"), middle.alias("high")), F.struct((middle + 1).alias("low"), F.col("high").alias("high")))
     split = rows.drop("n").withColumn("_half", F.explode(halves)).withColumn("low", F.col("_half.low")).withColumn("high", F.col("_half.high"))
     possible = split.drop("_half").where("low <= high and left >= low").where(F.col("right") >= length - F.col("high"))
     shared = F.substring("context", reach - F.col("low") + 1, length - F.col("high") + F.col("low"))
-    return possible.withColumn("key", F.xxhash64("key", "low", "high", shared))
+    bounded = possible.withColumns(
+        {
+            "key": F.xxhash64("key", "low", "high", shared),
+            "least": F.greatest(F.col("low"), length - F.col("right")),
+            "most": F.least("high", "left"),
+        }
+    )
+    touched = F.substring("context", reach - F.col("most") + 1, length + F.col("most") - F.col("least"))
+    return bounded.withColumn("code", F.xxhash64("least", "most", touched))
 
 
 def all_spans(contexts: DataFrame, length: int, gram: int, group: int) -> DataFrame:
@@ -224,16 +239,24 @@ def all_spans(contexts: DataFrame, length: int, gram: int, group: int) -> DataFr
     found = small_spans(rows.where(F.col("n") <= group), length, gram)
     large = rows.where(F.col("n") > group)
     while not large.isEmpty():
-        # one row per distinct context is left, so what is still here differs around the anchor
         split = halved(large, length, gram)
-        sizes = split.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("_all")).where("_all > 1").drop("_all")
-        split = stored(split.join(sizes, "key"), "contexts")
-        whole = split.where("low = high").select(
-            "tid", (F.col("place") - F.col("low")).cast("long").alias("begin"), (F.col("place") - F.col("low") + length).cast("long").alias("end")
+        marks = stored(split.select("key", "code", "tid", "place", "copies", "least", "most"), "halves")
+        kinds = stored(
+            marks.groupBy("key", "code").agg(F.min(F.struct("tid", "place")).alias("rep"), F.sum("copies").alias("copies")), "kinds"
+        )
+        # rows equal in all that their half can reach repeat there in every string; one of them stands for all from here on
+        alike = marks.where("copies = 1").join(kinds.where("copies > 1").select("key", "code"), ["key", "code"])
+        begin, end = F.col("place") - F.col("most"), F.col("place") - F.col("least") + length
+        whole = alike.select("tid", begin.cast("long").alias("begin"), end.cast("long").alias("end"))
+        sizes = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        kept = stored(
+            kinds.join(sizes, "key").select("key", "code", "n", "copies", F.col("rep.tid").alias("tid"), F.col("rep.place").alias("place")), "open"
         )
-        open_rows = split.where("low < high")
-        found = found.union(whole).union(small_spans(open_rows.where(F.col("n") <= group), length, gram))
-        large = open_rows.where(F.col("n") > group)
+        sent = hinted(kept, kept.count() <= SENT_ROWS)
+        rest = split.drop("copies", "least", "most").join(sent, ["key", "code", "tid", "place"]).drop("code")
+        rest = stored(rest, "contexts")
+        found = found.union(whole).union(small_spans(rest.where(F.col("n") <= group), length, gram))
+        large = rest.where(F.col("n") > group)
     return found
 
 

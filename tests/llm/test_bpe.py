@@ -47,7 +47,9 @@ def test_odd_documents_equal_the_library(spark, monkeypatch):
 
 
 def test_ids_are_an_output_of_their_own(spark):
-    row = bpe.encoded(frame(spark, ["Hello there"]), FILE, P.PATTERN, 65_536, 512).first()
+    rows = bpe.encoded(frame(spark, ["Hello there"]), FILE, P.PATTERN, 65_536, 512)
+    row = rows.first()
+    assert bpe.decoded(rows, FILE, P.PATTERN).first()["bytes"] == b"Hello there"
     assert row["ids"] == library().encode_ordinary("Hello there")
 
 
@@ -55,3 +57,10 @@ def test_pieces_may_be_forgotten(monkeypatch):
     monkeypatch.setattr(bpe, "MAX_PIECES", 3)
     own = bpe.Codec(FILE, P.PATTERN)
     assert own.encode(prose(200, 6)) == library().encode_ordinary(prose(200, 6))
+
+
+def test_long_runs_without_a_boundary():
+    own, other = bpe.codec(FILE, P.PATTERN), library()
+    for text in ("日本語" * 3_000, "x" * 20_000, "".join(chr(0x4E00 + i * 7 % 9_000) for i in range(20_000)), "😀🎉" * 4_000):
+        ids = own.encode(text)
+        assert ids == other.encode_ordinary(text) and own.decode(ids) == text.encode()

@@ -74,3 +74,23 @@ def test_the_mix_repeats_rows_as_planned(spark):
     want = {r["doc_id"]: r["copies"] for r in mixing.with_copies(sized, plan).collect() if r["copies"]}
     got = {r["doc_id"]: r["n"] for r in mixing.mixed(docs).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got == want
+
+
+def test_equal_rows_are_taken_one_by_one(spark):
+    text = " ".join(["word"] * 10)
+    docs = frame(spark, [text] * 400 + [prose(10, i) for i in range(400)], ["a"] * 400 + ["b"] * 400, ids=[7] * 400 + list(range(400)))
+    sized, plan = mixing.mix_plan(docs, weights=(1, 3))
+    rows = mixing.with_copies(sized, plan)
+    sums = {r["source"]: (r["target"], r["taken"]) for r in rows.groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("copies") * F.col("size")).alias("taken")).collect()}
+    assert rows.count() == 800
+    for target, taken in sums.values():
+        assert abs(target - taken) <= 10
+    out = mixing.mixed(docs, weights=(1, 3)).groupBy("source").count().collect()
+    assert {r["source"]: r["count"] * 10 for r in out} == {s: t for s, (_, t) in sums.items()}
+    assert sorted(map(str, rows.collect())) == sorted(map(str, mixing.with_copies(*mixing.mix_plan(docs, weights=(1, 3))).collect()))
+
+
+def test_sources_are_not_mixed_up_by_null(spark):
+    docs = frame(spark, ["one two three"] * 6, [None, None, None, "x", "x", "x"], ids=[1] * 6)
+    sized, plan = mixing.mix_plan(docs)
+    assert mixing.with_copies(sized, plan).count() == 6 and sized.select("source", "draw").distinct().count() == 6

@@ -92,3 +92,13 @@ def test_odd_documents_and_columns(spark):
 def test_plan_is_native(spark):
     plan = pseudonyms.reported(frame(spark, ["a"]), KEY)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("PythonUDF", "EvalPython", "MapIn", "Pandas"))
+
+
+def test_long_domains_and_empty_labels(spark):
+    long = "me@" + "a." * 40_000 + "com"
+    texts = [f"x {long} y", "x " + "a." * 40_000, "me@b.com..x.org z", "me@b..com", "me@b.com.", "me@b.com.5", "1." * 30_000, "+1 " * 20_000]
+    rows = pseudonyms.reported(frame(spark, texts), KEY).collect()
+    out = [r["text"] for r in sorted(rows)]
+    mail = out[4][:-1]
+    assert out[0].startswith("x u") and out[0].endswith("@example.invalid y") and out[1] == texts[1]
+    assert out[2] == mail + "..x.org z" and out[3] == texts[3] and out[5] == mail + ".5" and out[6:] == texts[6:]

@@ -47,3 +47,10 @@ def test_odd_documents(spark):
     want = [(i, len((t or "").encode()), n := len(other.encode(t or "")), n > 100) for i, t in zip(ids, texts)]
     assert sorted(map(tuple, rows), key=str) == sorted(want, key=str)
     assert token_counts.token_counts(frame(spark, []), MODEL).count() == 0
+
+
+def test_long_texts_without_blanks(spark):
+    other = library()
+    texts = ["".join(chr(0x4E00 + i * 7 % 20_000) for i in range(100_000)), "😀🎉" * 30_000, "$€£" * 20_000, "the" * 50_000, "ab  " + "ba" * 5_000]
+    rows = token_counts.token_counts(frame(spark, texts), MODEL).collect()
+    assert [r["n_tokens"] for r in sorted(rows)] == [len(other.encode(t)) for t in texts]

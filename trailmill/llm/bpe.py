@@ -3,10 +3,15 @@
 A text is cut into overlapping chunks and each chunk is pre-tokenised on its own. The pattern only looks
 forward, so two scans that share a boundary share all later ones: neighbouring chunks are stitched at
 the first boundary inside the overlap that both found, and where there is none the earlier scan goes on until it meets one.
-The pieces are then encoded by the ranks, each once per worker up to a bound. Decoding joins the bytes of the ids.
+The pieces are then encoded by merges in the order of their ranks, and a worker keeps the ids of short pieces up to a
+bound of a few MB. Decoding joins the bytes of the ids.
 
-Defined cases: a null text counts as empty and has no ids; rows are encoded one by one, so repeated rows and
-null ids are fine; other columns are not read.
+Rows are encoded and decoded one at a time in one pass over Arrow batches, so a worker holds the tokens of
+one text. Chunks of a text are scanned in the task that holds it.
+
+Defined cases: a null text counts as empty and has no ids; an empty table gives no rows; rows are encoded one by one, so
+repeated rows and null ids are fine; a text of any length goes chunk by chunk, and a run of letters without
+a boundary is one piece, merged in n log n steps; other columns are not read.
 """
 
 from __future__ import annotations
@@ -21,15 +26,17 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from trailmill.llm.merges import merged
 from trailmill.llm.tables import mapped
 
 CHUNK = 65_536
 OVERLAP = 512
 #: Characters before the end of a chunk where a longer text could still change a match.
 MARGIN = 4
-MAX_PIECES = 300_000
+#: Bounds of what a worker keeps: this many pieces of this many characters at most, about 20 MB.
+MAX_PIECES = 65_536
+KEPT_CHARS = 24
 
 
 def scan(pattern: regex.Pattern, text: str, begin: int, end: int) -> list[int]:
@@ -68,24 +75,29 @@ class Codec:
     """Pieces to ids by merge ranks, and ids to bytes."""
 
     def __init__(self, ranks_file: str, pattern: str):
-        import tiktoken
-
         with open(ranks_file, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.pattern = regex.compile(pattern)
-        self.merges = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-        self.bytes_of = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
+        self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
+        for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
-        self.names = [str(i) for i in range(len(self.bytes_of))]
+        self.single = [bytes([i]) for i in range(256)]
         self.pieces: dict[str, tuple[int, ...]] = {}
 
     def piece(self, piece: str) -> tuple[int, ...]:
         found = self.pieces.get(piece)
         if found is None:
-            if len(self.pieces) >= MAX_PIECES:
-                self.pieces.clear()
-            found = self.pieces[piece] = tuple(self.merges.encode_ordinary(piece))
+            data = piece.encode()
+            whole = self.ranks.get(data)
+            if whole is not None:
+                found = (whole,)
+            else:
+                parts = merged([self.single[b] for b in data], self.ranks.get)
+                found = tuple(map(self.ranks.__getitem__, parts))
+            if len(piece) <= KEPT_CHARS:
+                if len(self.pieces) >= MAX_PIECES:
+                    self.pieces.clear()
+                self.pieces[piece] = found
         return found
 
     def encode(self, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
@@ -100,37 +112,52 @@ def codec(ranks_file: str, pattern: str) -> Codec:
     return Codec(ranks_file, pattern)
 
 
-def encoded(docs: DataFrame, ranks_file: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """doc_id and ids (array of int) of every row."""
+def coded(
+    docs: DataFrame, ranks_file: str, pattern: str, with_ids: bool, chunk: int = CHUNK, overlap: int = OVERLAP
+) -> DataFrame:
+    """``docs`` with n_tokens, digests of the ids and of the bytes they decode to, and on request the ids, for ``text``."""
 
-    def encode(texts: pa.Array) -> list:
+    def work(texts: pa.Array) -> list:
         own = codec(ranks_file, pattern)
-        rows = [np.array(own.encode(t or "", chunk, overlap), dtype=np.int32) for t in texts.to_pylist()]
-        ends = np.cumsum([0, *map(len, rows)], dtype=np.int64).astype(np.int32)
-        return [pa.ListArray.from_arrays(ends, np.concatenate(rows) if rows else np.zeros(0, dtype=np.int32))]
+        out: list[list] = [[], [], []]
+        kept: list[np.ndarray] = []
+        for value in texts:
+            ids = own.encode(value.as_py() or "", chunk, overlap)
+            joined = ",".join(map(str, ids)).encode()
+            row = (len(ids), hashlib.sha256(joined).hexdigest(), hashlib.sha256(own.decode(ids)).hexdigest())
+            for column, x in zip(out, row, strict=True):
+                column.append(x)
+            if with_ids:
+                kept.append(np.array(ids, dtype=np.int32))
+        if not with_ids:
+            return out
+        ends = np.cumsum([0, *map(len, kept)], dtype=np.int64).astype(np.int32)
+        flat = np.concatenate(kept) if kept else np.zeros(0, dtype=np.int32)
+        return [*out, pa.ListArray.from_arrays(ends, flat)]
+
+    added = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
+    return mapped(docs, "text", work, added | ({"ids": "array<int>"} if with_ids else {}))
+
+
+def digests(
+    docs: DataFrame, ranks_file: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP
+) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row, encoded and decoded again."""
+    return coded(docs.select("doc_id", "text"), ranks_file, pattern, False, chunk, overlap)
+
 
-    return mapped(docs.select("doc_id", "text"), "text", encode, {"ids": "array<int>"})
+def encoded(
+    docs: DataFrame, ranks_file: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP
+) -> DataFrame:
+    """doc_id, n_tokens, both digests and ids (array of int) of every row."""
+    return coded(docs.select("doc_id", "text"), ranks_file, pattern, True, chunk, overlap)
 
 
 def decoded(tokens: DataFrame, ranks_file: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, SHA-256 of the ids joined by commas, and the decoded bytes of every row with ids."""
+    """doc_id and bytes of every row with ids; null ids give null."""
 
-    def decode(column: pa.Array) -> list:
+    def work(column: pa.Array) -> list:
         own = codec(ranks_file, pattern)
-        values, ends = column.values.to_numpy(), column.offsets.to_numpy()
-        rows = [values[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)]
-        joined = (",".join(map(own.names.__getitem__, ids)) for ids in rows)
-        return [
-            [len(ids) for ids in rows],
-            [hashlib.sha256(x.encode()).hexdigest() for x in joined],
-            [own.decode(ids) for ids in rows],
-        ]
+        return [[None if ids is None else own.decode(ids) for ids in (x.as_py() for x in column)]]
 
-    added = {"n_tokens": "long", "ids_sha256": "string", "bytes": "binary"}
-    return mapped(tokens.select("doc_id", "ids"), "ids", decode, added)
-
-
-def digests(docs: DataFrame, ranks_file: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row, encoded and decoded again."""
-    back = decoded(encoded(docs, ranks_file, pattern), ranks_file, pattern)
-    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+    return mapped(tokens.select("doc_id", "ids"), "ids", work, {"bytes": "binary"})

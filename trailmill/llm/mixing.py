@@ -11,8 +11,9 @@ The order is cut into buckets; words are summed per (source, bucket), and only t
 a source reaches its target is sorted, so a source with a third of all rows never meets in one task.
 
 Defined cases: a null text has size 0 and is never taken; a null source is a source of its own, last in order;
-a null id draws by its text; rows that repeat id and text draw the same number, and among such equals Spark
-may take any; an empty table gives no rows; other columns are kept.
+a null id draws by its text; rows of a source that repeat id and text are numbered, and each number draws for itself, so
+any part of them can be taken; ties in rank go by the draw; an empty table gives no rows; texts of any length are only
+counted; other columns are kept.
 """
 
 from __future__ import annotations
@@ -22,11 +23,14 @@ from pyspark.sql import functions as F
 
 from trailmill.llm.storage import stored
 from trailmill.llm.tables import word_count
+from trailmill.scale import dense_position, hinted
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
 BUCKET_ROWS = 5_000
 DRAWS = 1 << 52
+#: Most repeated draws that are sent to all tasks.
+SENT_DRAWS = 100_000
 
 
 def draw_key(seed: int) -> Column:
@@ -36,6 +40,34 @@ def draw_key(seed: int) -> Column:
     )
 
 
+def equal_rows(sized: DataFrame) -> DataFrame | None:
+    """Source and draw (as one key) that more than one row has; None if there are none."""
+    counts = sized.groupBy(equal_key().alias("_equal")).count().where("count > 1").select("_equal")
+    found = stored(counts, "equal")
+    rows = found.count()
+    return hinted(found, rows <= SENT_DRAWS) if rows else None
+
+
+def equal_key() -> Column:
+    return F.concat("draw", F.coalesce(F.concat(F.lit(":"), "source"), F.lit("")))
+
+
+def numbered(rows: DataFrame, equal: DataFrame | None) -> DataFrame:
+    """``rows`` with a draw of its own for each of several equal rows.
+
+    Equal rows are numbered inside the task that reads them, and numbers of earlier tasks are added, so many
+    copies of one row never meet in one task. The first keeps its draw.
+    """
+    if equal is None:
+        return rows
+    marked = rows.withColumn("_equal", equal_key())
+    once = marked.join(equal, "_equal", "left_anti").drop("_equal")
+    many = marked.join(equal, "_equal", "left_semi")
+    many = dense_position(many, ["_equal"], ["draw"], F.spark_partition_id(), out="_nth")
+    own = F.md5(F.concat_ws(":", "draw", (F.col("_nth") - 1).cast("string")).cast("binary"))
+    return once.union(many.withColumn("draw", F.when(F.col("_nth") > 1, own).otherwise(F.col("draw"))).select(*rows.columns))
+
+
 def rank_value() -> Column:
     """Random odds over inclusion odds of a row with draw, size, mean_size and share."""
     u = (F.conv(F.substring("draw", 1, 13), 16, 10).cast("double") + 0.5) / DRAWS
@@ -87,9 +119,17 @@ def by_source(rows: DataFrame, plan: DataFrame, how: str = "left") -> DataFrame:
 
 def mix_plan(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = 0) -> tuple[DataFrame, DataFrame]:
     """Sizes and draws of all rows, and per source what decides how often a row is taken."""
+    return planned(docs, weights, most, seed)[:2]
+
+
+def planned(docs: DataFrame, weights, most: int, seed: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Both tables of ``mix_plan``, and the keys of rows that are equal."""
     sized = stored(
         docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), draw_key(seed).alias("draw")), "sizes"
     )
+    equal = equal_rows(sized)
+    if equal is not None:
+        sized = stored(numbered(sized, equal), "sizes")
     aims = stored(targets(sized, weights, most), "targets")
     buckets = max(64, sized.count() // BUCKET_ROWS)
     ranked = by_source(sized, aims).withColumn("rank", rank_value()).where(F.col("rank").isNotNull())
@@ -129,7 +169,7 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = 0)
     open_rows = by_source(ranked, cuts, "inner").where(~sampled_row()).where(off < missing)
     closing = open_rows.groupBy("source").agg(F.min(F.struct(off.alias("off"), "size", "rank", "draw")).alias("closing"))
     plan = by_source(by_source(aims, cuts), closing).withColumn("buckets", F.lit(buckets))
-    return sized, stored(plan, "plan")
+    return sized, stored(plan, "plan"), equal
 
 
 def sampled_row() -> Column:
@@ -154,9 +194,9 @@ def mixed(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = 0) ->
 
     The plan has one row per source, so the rows of the texts are not moved by a key of theirs.
     """
-    _, plan = mix_plan(docs, weights, most, seed)
+    _, plan, equal = planned(docs, weights, most, seed)
     rows = docs.select(
-        F.struct(*docs.columns).alias("_row"), "source", word_count(F.col("text")).alias("size"), draw_key(seed).alias("draw")
+        F.struct(*docs.columns).alias("_doc"), "source", word_count(F.col("text")).alias("size"), draw_key(seed).alias("draw")
     )
-    taken = with_copies(rows, plan).where(F.col("copies") > 0)
-    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
+    taken = with_copies(numbered(rows, equal), plan).where(F.col("copies") > 0)
+    return taken.select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_doc.*")

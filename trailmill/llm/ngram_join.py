@@ -1,21 +1,30 @@
-"""Jaccard join of shingle sets by token-combination signatures.
+"""Jaccard join of shingle sets by prefixes of rare tokens and combinations of frequent ones.
 
 Two sets link when ``100 * intersection >= percent * union``. Then they differ in at most ``d`` tokens, ``d`` being
-the smaller size times (100 - percent) / percent, rounded down. The token universe is cut into hash classes, more than d
-of them, the same for all sets of a band of sizes. Each differing token spoils one class, so linked sets agree
-in all tokens of a class. The prefix is extended to the whole set, and each class is indexed by the combination
-of its tokens: about six tokens for sets of some size, single tokens for small sets, whose classes are that fine.
-Tokens that many documents share, as those of a common passage, so never make a key of their own.
+the smaller size times (100 - percent) / percent, rounded down.
+
+Tokens fall into ``CLASSES`` hash classes, whose tokens are counted over all documents. A class is frequent when its
+count is far above what an even spread gives. Tokens are ordered by the count of their class, rarest
+first, and a set of n tokens has a prefix of ``n - ceil(percent * n / 100) + 1``: two linked sets share a token there.
+
+* Where the first shared token is rare, it is in both prefixes, and rare tokens of the prefix are indexed one by one.
+* Otherwise the sets share no rare token at all, so all their rare ones are among the d that differ. Only sets whose
+  prefix reaches a frequent token can be meant. Their prefix is extended to all their frequent tokens, which are dealt into
+  more than d hash groups; each differing token spoils one group, so linked sets agree in all tokens of some
+  group, and each group is indexed by the combination of its tokens.
+
+Sets above ``RARE_SIZE`` tokens have long prefixes, in which tokens that are rare by themselves still meet by chance;
+for them every class counts as frequent, so they are indexed by combinations of about six tokens alone. Frequent tokens, as those of
+a common passage, never make a key of their own. Equal sets are one node, so sets of d = 0 need no key.
 
 Sets that share a key form coarse groups. A group is cut into blocks, and every pair of blocks is verified
 exactly by one matrix product in a task that holds two blocks, which returns at most one link per set.
-Components of these links are exact; no pairs of documents become rows.
-
-Equal sets are one node (a 64-bit hash of the set), so exact copies never multiply. Tokens are 64-bit hashes.
+Components of these links are exact; no pairs of documents become rows. Tokens and sets are 64-bit hashes.
 
 Defined cases: null text or no words give an empty set, which links with nothing, and component_id is the own doc_id;
 fewer words than ``width`` are one token; a row with a null id takes part and its component_id is the smallest
-other id reachable, null if there is none; repeated rows are copies; other columns are not read.
+other id reachable, null if there is none; repeated rows are copies; an empty table gives no rows; texts of any length are
+hashed in blocks; ties between tokens go by their hash; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,35 +37,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmill.llm.components import components
+from trailmill.llm.shingling import mix, set_hash, shingle_sets
 from trailmill.llm.storage import stored
-from trailmill.llm.tables import let, words
 from trailmill.scale import bounded_side, hinted
 
 WIDTH = 3
 PERCENT = 90
 BLOCK = 1_024
+#: Hash classes of tokens whose frequencies are counted, 8 bytes each in every task.
+CLASSES = 1 << 18
+#: Largest sets that are indexed by rare tokens of their prefix.
+RARE_SIZE = 360
 #: Most keys (16 bytes each) that are sent to all tasks.
 SENT_KEYS = 2_000_000
+#: Characters of the contract that are lower-cased, and what they become.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def shingles(text: Column, width: int = WIDTH) -> Column:
-    """Sorted distinct hashes of the word windows of a text."""
+def token_class(tokens: np.ndarray, classes: int) -> np.ndarray:
+    return (tokens >> np.uint64(20)).astype(np.int64) & (classes - 1)
+
 
-    def windows(tokens: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(tokens) - (width - 1))
-        many = F.transform(starts, lambda i: F.xxhash64(F.slice(tokens, i, F.lit(width))))
-        one = F.when(F.size(tokens) > 0, F.array(F.xxhash64(tokens))).otherwise(F.array().cast("array<bigint>"))
-        return F.sort_array(F.array_distinct(F.when(F.size(tokens) >= width, many).otherwise(one)))
+def class_counts(docs: DataFrame, width: int, classes: int = CLASSES) -> np.ndarray:
+    """Tokens of all documents per class; tasks add up their own before anything is exchanged."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(classes, dtype=np.int64)
+        for batch in batches:
+            for tokens in shingle_sets(batch.column("text"), width):
+                np.add.at(total, token_class(tokens, classes), 1)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], ["class", "n"])
+
+    sums = docs.select("text").mapInArrow(counted, "class int, n long").groupBy("class").agg(F.sum("n").alias("n"))
+    table = sums.toArrow()
+    out = np.zeros(classes, dtype=np.int64)
+    out[table.column("class").to_numpy()] = table.column("n").to_numpy()
+    return out
 
-    return let(words(F.translate(text, UPPER, LOWER)), windows)
+
+def frequent_above(counts: np.ndarray) -> float:
+    """Count from which a class must hold a frequent token: six deviations and a few rows above the mean."""
+    mean = counts.mean() if len(counts) else 0.0
+    return float(mean + 6 * np.sqrt(mean) + 8)
 
 
 def bands(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First and last size of each band of sizes, its number of hash classes, and the fewest tokens that index a class.
+    """First and last size of each band of sizes, its number of hash groups, and the fewest tokens that index a group.
 
-    Linked sets agree in an indexed class as long as more than d classes hold so many tokens, which fails
-    for a set with a chance below 10^-12 at these numbers; ``class_keys`` checks it.
+    Linked sets agree in an indexed group as long as more than d groups hold so many tokens, which fails
+    for a set with a chance below 10^-12 at these numbers; ``group_keys`` then indexes smaller groups too.
     """
     rows, first = [], 1
     while first <= largest:
@@ -68,63 +98,91 @@ def bands(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return tuple(np.array(x) for x in zip(*rows, strict=True))
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """Finaliser of a 64-bit hash."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def class_keys(tokens: np.ndarray, percent: int, firsts, lasts, classes, fewest) -> np.ndarray:
-    """Keys of a set: one per indexed class, in its own band and in the one below if a link can reach there."""
-    size = len(tokens)
-    if not size:
-        return np.zeros(0, dtype=np.int64)
-    mixed = mix(tokens.view(np.uint64))
-    own = int(np.searchsorted(firsts, size, side="right")) - 1
-    wanted = [own]
-    if own and size * percent <= 100 * int(lasts[own - 1]):
-        wanted.append(own - 1)
-    keys = []
-    for band in wanted:
-        number = int(classes[band])
-        place = ((mixed >> np.uint64(32)) * np.uint64(number) >> np.uint64(32)).astype(np.int64)
-        sums = np.zeros(number, dtype=np.uint64)
-        np.add.at(sums, place, mix(mixed))
-        held = np.flatnonzero(np.bincount(place, minlength=number) >= fewest[band]).astype(np.uint64)
-        if len(held) <= min(size, int(lasts[band])) * (100 - percent) // percent:
-            raise ValueError("too few token classes are filled; use another hash of the tokens")
-        keys.append(mix(sums[held.astype(np.int64)] + held * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band)))
-    return np.concatenate(keys).view(np.int64)
+def group_keys(tokens: np.ndarray, band: int, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and keys of the filled hash groups: a key is the combination of the tokens that fall into the group."""
+    mixed = mix(tokens)
+    place = ((mixed >> np.uint64(32)) * np.uint64(number) >> np.uint64(32)).astype(np.int64)
+    sums = np.zeros(number, dtype=np.uint64)
+    np.add.at(sums, place, mix(mixed))
+    sizes = np.bincount(place, minlength=number)
+    held = np.flatnonzero(sizes)
+    return sizes[held], mix(sums[held] + held.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band))
+
+
+class Index:
+    """Keys of sets: two linked sets share at least one."""
+
+    def __init__(self, percent: int, counts: np.ndarray):
+        self.percent, self.counts, self.limit = percent, counts, frequent_above(counts)
+        self.bands = bands(percent, 1 << 40)
+
+    def keys(self, tokens: np.ndarray) -> np.ndarray:
+        """Keys of a set, in its own band of sizes and in the one below if a link can reach there."""
+        firsts, lasts = self.bands[:2]
+        size = len(tokens)
+        if not size:
+            return np.zeros(0, dtype=np.int64)
+        own = int(np.searchsorted(firsts, size, side="right")) - 1
+        wanted = [own]
+        if own and size * self.percent <= 100 * int(lasts[own - 1]):
+            wanted.append(own - 1)
+        found = [self.band_keys(tokens, band) for band in wanted]
+        return np.concatenate(found).view(np.int64)
+
+    def band_keys(self, tokens: np.ndarray, band: int) -> np.ndarray:
+        _, lasts, groups, fewest = (int(x[band]) for x in self.bands)
+        size, percent = len(tokens), self.percent
+        d = min(size, lasts) * (100 - percent) // percent
+        if not lasts * (100 - percent) // percent:
+            return np.zeros(0, dtype=np.uint64)  # linked sets are equal here, hence one node
+        singles, rest = np.zeros(0, dtype=np.uint64), tokens
+        if lasts <= RARE_SIZE:
+            seen = self.counts[token_class(tokens, len(self.counts))]
+            order = np.lexsort((tokens, seen))
+            prefix = size - (-(-size * percent // 100)) + 1
+            rare = int(np.searchsorted(seen[order], self.limit, side="right"))
+            singles = mix(tokens[order[: min(prefix, rare)]] + np.uint64(band + 1))
+            if rare >= prefix:
+                return singles
+            rest = tokens[order[rare:]]
+        sizes, combined = group_keys(rest, band, groups)
+        enough = sizes >= fewest
+        if enough.sum() <= d:
+            enough[:] = True
+        return np.concatenate([singles, combined[enough]])
 
 
 def row_key() -> Column:
-    """Identity of a row: its id, or a digest of its text where the id is null."""
-    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.md5(F.col("text").cast("binary"))))
+    """Identity of a row: its id and a digest of its text."""
+    text = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text)
 
 
 def indexed(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """doc_id, row, node, n_shingles and keys of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sets = docs.select("doc_id", row_key().alias("row"), shingles(F.col("text"), width).alias("tokens"))
+    counts = docs.sparkSession.sparkContext.broadcast(class_counts(docs, width))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = bands(percent, 1 << 40)
+        index = Index(percent, counts.value)
         for batch in batches:
-            column = batch.column("tokens")
-            values, ends = column.values.to_numpy(), column.offsets.to_numpy()
-            keys = [class_keys(values[a:b], percent, *table) for a, b in zip(ends, ends[1:], strict=False)]
+            nodes, sizes, keys = [], [], []
+            for tokens in shingle_sets(batch.column("text"), width):
+                nodes.append(set_hash(tokens))
+                sizes.append(len(tokens))
+                keys.append(index.keys(tokens))
             places = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("doc_id", "row", "node", "n_shingles")] + [pa.ListArray.from_arrays(places, flat)],
+                [
+                    batch.column("doc_id"), batch.column("row"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
+                    pa.ListArray.from_arrays(places, flat),
+                ],
                 ["doc_id", "row", "node", "n_shingles", "keys"],
             )
 
-    with_node = sets.select(
-        "doc_id", "row", F.xxhash64("tokens").alias("node"), F.size("tokens").cast("long").alias("n_shingles"), "tokens"
-    )
-    return with_node.mapInArrow(keyed, f"doc_id {kind}, row string, node long, n_shingles long, keys array<long>")
+    rows = docs.select("doc_id", row_key().alias("row"), "text")
+    return rows.mapInArrow(keyed, f"doc_id {kind}, row string, node long, n_shingles long, keys array<long>")
 
 
 def linked_labels(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -175,6 +233,8 @@ def verified(percent: int):
                 if here != place:
                     found += links(nodes, sets) if len(nodes) > 1 else []
                     place, nodes, sets = here, [], []
+                if nodes and nodes[-1] == node:
+                    continue
                 nodes.append(node)
                 sets.append(values[a:b].copy())
             yield pairs(found)
@@ -201,10 +261,30 @@ def block_places() -> Column:
     return F.transform(pair, lambda p: F.xxhash64(F.col("root"), p["i"], p["j"]))
 
 
+def token_rows(members: DataFrame, width: int) -> DataFrame:
+    """node, root, blocks and tokens of every row with a text; equal nodes of a task once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            fresh, sets = [], []
+            for i, (node, tokens) in enumerate(zip(batch.column("node").to_pylist(), shingle_sets(batch.column("text"), width), strict=True)):
+                if node not in seen:
+                    seen.add(node)
+                    fresh.append(i)
+                    sets.append(tokens.view(np.int64))
+            places = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            flat = np.concatenate(sets) if sets else np.zeros(0, dtype=np.int64)
+            kept = batch.select(["node", "root", "blocks"]).take(pa.array(fresh, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.ListArray.from_arrays(places, flat)], ["node", "root", "blocks", "tokens"])
+
+    return members.select("node", "root", "blocks", "text").mapInArrow(run, "node long, root long, blocks int, tokens array<long>")
+
+
 def similar_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """doc_id, row, n_shingles, node, node_id and component_id of every row."""
+    """doc_id, row, n_shingles, node, node_id, root and component_id of every row."""
     if not 90 <= percent <= 100:
-        raise ValueError("the numbers of token classes are chosen for 90 to 100 percent")
+        raise ValueError("the numbers of hash groups are chosen for 90 to 100 percent")
     rows = stored(indexed(docs, width, percent), "sets")
     nodes = stored(
         rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("node_id"), F.min("row").alias("row")), "nodes"
@@ -215,34 +295,39 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bl
     coarse = entries.join(hinted(shared, shared.count() <= SENT_KEYS), "key").select(F.col("node").alias("a"), "b")
     groups = components(coarse)
     members = bounded_side(blocked(groups, block).join(nodes.select("node", "row"), "node"))
-    sets = (
-        docs.select(row_key().alias("row"), "text")
-        .join(members, "row")
-        .select("node", "root", "blocks", shingles(F.col("text"), width).alias("tokens"))
-        .where(F.xxhash64("tokens") == F.col("node"))
-        .select("node", "tokens", F.explode(block_places()).alias("place"))
-    )
+    texts = docs.select(row_key().alias("row"), "text").join(members, "row")
+    sets = token_rows(texts, width).select("node", "tokens", F.explode(block_places()).alias("place"))
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = sets.repartition(parts, "place").sortWithinPartitions("place").mapInArrow(verified(percent), "a long, b long")
+    links = sets.repartition(parts, "place").sortWithinPartitions("place", "node").mapInArrow(verified(percent), "a long, b long")
     exact = components(links)
     smallest = (
         exact.join(nodes.select("node", "node_id"), "node").groupBy("root").agg(F.min("node_id").alias("component_id"))
     )
-    found = exact.join(smallest, "root").select("node", "component_id")
+    found = exact.join(smallest, "root").select("node", "root", "component_id")
     known = nodes.select("node", "node_id").join(found, "node", "left")
-    named = known.select("node", "node_id", F.coalesce("component_id", "node_id").alias("component_id"))
+    named = known.select(
+        "node", "node_id", F.coalesce("root", "node").alias("root"), F.coalesce("component_id", "node_id").alias("component_id")
+    )
     out = rows.drop("keys").join(named, "node", "left")
     return out.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
 
 
 def one_per_component(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Rows of ``docs``, columns unchanged: of each component only the document with the smallest id stays.
+    """Rows of ``docs``, columns unchanged: of each component one row stays, that with the smallest id, then smallest digest.
 
-    Empty sets stay, and so do rows that repeat the id and text of the one that stays. Components with
-    null ids only stay as they are.
+    Empty sets stay. Rows are told apart by id and text, so another text under the id of a row that stays
+    is judged by itself, and of rows that repeat both one stays. Null ids come last.
     """
-    found = similar_sets(docs, width, percent)
-    gone = found.where("n_shingles > 0 and component_id is not null and not doc_id <=> component_id")
-    gone = bounded_side(gone.select(F.col("row").alias("_gone")).distinct())
-    return docs.join(gone, row_key() == F.col("_gone"), "left_anti")
+    found = stored(similar_sets(docs, width, percent).where("n_shingles > 0").select("doc_id", "row", "node", "root"), "judged")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    first = found.groupBy("root").agg(F.min(order)["row"].alias("row"))
+    gone = found.select("row").distinct().join(first.select("row"), "row", "left_anti")
+    again = found.groupBy("row").count().where("count > 1").join(first.select("row"), "row", "left_semi")
+    names = docs.columns
+    rows = docs.select(F.struct(*names).alias("_docs_row"), row_key().alias("row"))
+    rows = rows.join(bounded_side(gone), "row", "left_anti")
+    again = bounded_side(again.select("row"))
+    single = rows.join(again, "row", "left_anti")
+    repeated = rows.join(again, "row", "left_semi").groupBy("row").agg(F.first("_docs_row").alias("_docs_row"))
+    return single.select("_docs_row.*").union(repeated.select("_docs_row.*"))

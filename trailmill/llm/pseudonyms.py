@@ -12,7 +12,8 @@ Permutations keep different values different, and equal values stay equal in all
 keys have no numeric format; keyed digests of the same shape take their place. Text that fails its check stays.
 
 The key is a secret of the caller. Defined cases: a null text stays null; rows are rewritten one by one, so repeated rows
-stay equal; other columns pass unread.
+stay equal; an empty table gives no rows; a text or candidate of any length is matched without recursion over its length;
+other columns pass unread.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ ROUNDS = 8
 FIRST_DAY = "1900-01-01"
 DAYS = (250, 292)
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+#: The domain is one run of characters, as a loop over its labels would recurse once per label; ``mail`` checks the labels.
+DOMAIN = r"@[A-Za-z0-9-][A-Za-z0-9.-]*\.[A-Za-z]{2,}"
+EMAIL = rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++{DOMAIN}"
 ACCESS_KEY = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"
 HEX_KEY = r"(?<![0-9A-Za-z])[0-9a-f]{32,64}(?![0-9A-Za-z])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
@@ -192,12 +195,22 @@ def hex_digest(found: Column, key: str, tweak: str) -> Column:
     return F.sha2(text.cast("binary"), 512)
 
 
+def mail(found: Column, key: str) -> Column:
+    """A digest for the address at the start of ``found``; what follows an empty label is no address and stays."""
+    address = F.regexp_extract(F.substring_index(found, "..", 1), rf"^[^@]++{DOMAIN}", 0)
+
+    def digested(valid: Column) -> Column:
+        new = F.concat(F.lit("u"), F.substring(hex_digest(F.lower(valid), key, "mail"), 1, 16), F.lit("@example.invalid"))
+        return F.when(valid == "", found).otherwise(F.concat(new, F.substring(found, F.length(valid) + 1, F.length(found))))
+
+    return let(address, digested)
+
+
 def replaced(found: Column, key: str) -> Column:
     """The pseudonym of one candidate."""
-    mail = F.concat(F.lit("u"), F.substring(hex_digest(F.lower(found), key, "mail"), 1, 16), F.lit("@example.invalid"))
     upper = F.translate(F.upper(F.substring(hex_digest(found, key, "key"), 1, 16)), "0123456789", "GHJKMNPQRS")
     kinds = (
-        (EMAIL, mail),
+        (EMAIL, mail(found, key)),
         (ACCESS_KEY, F.concat(F.substring(found, 1, 4), upper)),
         (HEX_KEY, F.substring(hex_digest(found, key, "hex"), F.lit(1), F.length(found))),
         (IBAN, account(found, key)),

@@ -117,8 +117,10 @@ r as (select *, row_number() over (partition by query_id order by score desc, ve
 select query_id, rank::int rank, vec_id, score from r where rank <= 5
 """,
     "op5_mixing": f"""
-with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::bigint size,
+with f as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::bigint size,
   md5('0:' || coalesce(doc_id::varchar, '') || ':' || md5(coalesce(text, ''))) draw from documents),
+n as (select *, row_number() over (partition by source, draw) nth from f),
+d as (select doc_id, source, size, case when nth = 1 then draw else md5(draw || ':' || (nth - 1)) end draw from n),
 s as (select source, sum(size)::bigint source_size, count(*) filter (size > 0) filled from d group by source),
 w as (select *, 3 * source_size lim,
   list_extract([5, 2, 1], ((row_number() over (order by encode(source) nulls last) - 1) % 3 + 1)::bigint) weight from s),

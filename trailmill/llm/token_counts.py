@@ -11,8 +11,8 @@ same state leaves. A chunk of text therefore maps an entering state to a leaving
 before its first such point), a fixed count, and a tail. These maps compose associatively, and
 a prefix scan over the chunks of a text composes them in doubling steps.
 
-Defined cases: a null text counts as empty, with 0 tokens; rows are counted one by one, so repeated rows and
-null ids are fine; other columns are not read.
+Defined cases: a null text counts as empty, with 0 tokens; an empty table gives no rows; rows are counted one by one, so
+repeated rows and null ids are fine; a text of any length is read chunk by chunk, with or without blanks; other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,12 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trailmill.llm.merges import merged
 from trailmill.llm.tables import mapped
 
 SPACE = "▁"
 CHUNK = 65_536
 MAX_STATES = 200_000
 MAX_WORDS = 400_000
+#: Longer words are counted again each time, so what a worker keeps is bounded in bytes too.
+KEPT_CHARS = 32
 RUN = re.compile(r"( *)([^ ]*)")
 
 
@@ -72,17 +75,13 @@ class Transducer:
         self.states: dict[tuple, State] = {}
         self.words: dict[str, int] = {}
 
+    def rank(self, piece: str) -> float | None:
+        score = self.scores.get(piece)
+        return None if score is None else -score
+
     def merged(self, text: str) -> list[str]:
-        """Pieces of a short string by the merges themselves, best score first, then leftmost."""
-        parts, none = list(text), float("-inf")
-        while len(parts) > 1:
-            best, at = max(
-                ((self.scores.get(parts[i] + parts[i + 1], none), -i) for i in range(len(parts) - 1)),
-            )
-            if best == none:
-                break
-            parts[-at : 2 - at] = [parts[-at] + parts[1 - at]]
-        return parts
+        """Pieces of a string by the merges themselves, best score first, then leftmost."""
+        return merged(list(text), self.rank)
 
     def fit(self, left: str | None, right: str) -> bool:
         """Whether ``right`` stays a piece of its own after the piece ``left``."""
@@ -123,17 +122,24 @@ class Transducer:
 
     def count(self, segment: str) -> int:
         """Tokens of a segment, from the first state."""
-        if len(self.states) > MAX_STATES:
-            self.clear()
-        state, total = self.start, 0
-        for char in segment:
-            state, added = state[char]
-            total += added
+        state, total = None, 0
+        for at in range(0, len(segment), CHUNK):
+            if len(self.states) > MAX_STATES:
+                self.clear()  # the state in hand stays usable, as it makes its transitions anew
+            state = state or self.start
+            for char in segment[at : at + CHUNK]:
+                state, added = state[char]
+                total += added
         return total
 
     def first_is_space(self, word: str) -> bool:
-        """Whether the space before a word stays a piece of its own."""
-        return self.merged((SPACE + word)[: 4 * self.longest])[0] == SPACE
+        """Whether the space before a word stays a piece of its own.
+
+        No merge crosses a pair of characters that no piece holds, so the pieces up to the first such pair
+        are those of the whole; it is enough to merge these characters.
+        """
+        end = next((i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.pairs), len(word))
+        return self.merged(SPACE + word[:end])[0] == SPACE
 
     def run_tokens(self, spaces: int) -> int:
         """Tokens of a run of spaces alone; the longest run piece repeats."""
@@ -143,16 +149,17 @@ class Transducer:
         return whole + self.runs[rest]
 
     def word(self, word: str) -> int:
-        """Tokens of a space and a word."""
+        """Tokens of a space and a word; characters at its end that no piece joins to the one before count alone."""
         found = self.words.get(word)
         if found is None:
-            if len(self.words) >= MAX_WORDS:
-                self.words.clear()
-            if len(word) > 1 and word[-2:] not in self.pairs:
-                found = self.word(word[:-1]) + self.count(word[-1])
-            else:
-                found = self.count(SPACE + word)
-            self.words[word] = found
+            end = len(word)
+            while end > 1 and word[end - 2 : end] not in self.pairs:
+                end -= 1
+            found = self.count(SPACE + word[:end]) + sum(map(self.count, word[end:]))
+            if len(word) <= KEPT_CHARS:
+                if len(self.words) >= MAX_WORDS:
+                    self.words.clear()
+                self.words[word] = found
         return found
 
     def line(self, line: str) -> int:
@@ -232,9 +239,13 @@ def token_counts(docs: DataFrame, model: str, limit: int = 4096, chunk: int = CH
 
     def count(texts: pa.Array) -> list:
         transducer = compiled(model)
-        gc.freeze()  # the many small states would be walked again and again; they are cleared by hand
-        gc.disable()
-        return [[transducer.tokens(t or "", chunk) for t in texts.to_pylist()]]
+        on = gc.isenabled()
+        gc.disable()  # the many small states would be walked again and again; they are cleared by hand
+        try:
+            return [[transducer.tokens(t.as_py() or "", chunk) for t in texts]]
+        finally:
+            if on:
+                gc.enable()
 
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     counted = mapped(docs.select("doc_id", n_bytes.alias("n_bytes"), "text"), "text", count, {"n_tokens": "long"})

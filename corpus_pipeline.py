@@ -32,7 +32,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.digests(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    return bpe.encoded(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
 STAGES = [

@@ -10,15 +10,15 @@ SCHEMA = "vec_id long, embedding array<float>, label int, v string, block string
 
 
 def brute(rows, k, asked):
-    usable = {}
+    usable = []
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
-            w = [int(np.floor(256 * float(np.float32(x)))) for x in v]
-            usable[i] = min(usable.get(i, w), w)
+            usable.append((i, [int(np.floor(256 * float(np.float32(x)))) for x in v]))
     out = []
-    for q in (i for i in usable if i % asked == 0):
-        scores = sorted((-sum(a * b for a, b in zip(usable[q], w)), i) for i, w in usable.items() if i != q)
-        out += [(q, n, i, -s) for n, (s, i) in enumerate(scores[:k], 1)]
+    for at, (q, vector) in enumerate(usable):
+        if q % asked == 0:
+            scores = sorted((-sum(a * b for a, b in zip(vector, w)), i) for j, (i, w) in enumerate(usable) if j != at)
+            out += [(q, n, i, -s) for n, (s, i) in enumerate(scores[:k], 1)]
     return sorted(out)
 
 
@@ -39,3 +39,14 @@ def test_few_and_no_candidates(spark):
     assert topk.top_k(one.where("false"), F.lit(True), 5).count() == 0
     two = one.union(spark.createDataFrame([(1, [0.5], 1, "x", "y", "z")], SCHEMA))
     assert sorted(map(tuple, topk.top_k(two, F.lit(True), 5).collect())) == [(0, 1, 1, 256 * 128), (1, 1, 0, 256 * 128)]
+
+
+def test_queries_in_several_blocks(spark, monkeypatch):
+    from trailmill.llm import vectors
+
+    rnd = random.Random(2)
+    rows = [(i, [rnd.uniform(-1, 1) for _ in range(4)]) for i in range(60)]
+    df = spark.createDataFrame([(i, v, 1, "x", "y", "z") for i, v in rows], SCHEMA)
+    numbered = vectors.with_blocks
+    monkeypatch.setattr(topk, "with_blocks", lambda q, name: numbered(q, name, 3))
+    assert sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 5 == 0, 4, block=7).collect())) == brute(rows, 4, 5)

@@ -285,7 +285,11 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bl
     """doc_id, row, n_shingles, node, node_id, root and component_id of every row."""
     if not 90 <= percent <= 100:
         raise ValueError("the numbers of hash groups are chosen for 90 to 100 percent")
-    rows = stored(indexed(docs, width, percent), "sets")
+    return linked_sets(docs, stored(indexed(docs, width, percent), "sets"), width, percent, block)
+
+
+def linked_sets(docs: DataFrame, rows: DataFrame, width: int, percent: int, block: int) -> DataFrame:
+    """Components of exact links among the sets of ``rows`` (doc_id, row, node, n_shingles, keys) that share a key."""
     nodes = stored(
         rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("node_id"), F.min("row").alias("row")), "nodes"
     )

@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmill.llm import bpe, languages, mixing, ngram_join, pseudonyms, quality, repeats, token_counts, topk, warc
+from trailmill.llm import (
+    bpe,
+    centroids,
+    fingerprints,
+    languages,
+    mixing,
+    negatives,
+    ngram_join,
+    pseudonyms,
+    quality,
+    repeats,
+    token_counts,
+    topk,
+    warc,
+)
 from trailmill.llm.storage import shared_path
 from trailmill.llm.tables import read
 
@@ -70,11 +84,26 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").withColumn("label", noisy)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0, 5, 5, (80, 100))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(read(spark, sf_dir, "embeddings"), k=8, rounds=10, width=64, scale=1024.0, seed=3)
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_warc, op2_token_counts, op3_quality, op4_topk, op5_mixing,
         op6_languages, op7_ngram_join, op8_pseudonyms, op9_byte_bpe, op10_repeats,
+        op11_negatives, op12_centroids, op13_fingerprints,
     )
 }
 
@@ -108,12 +137,12 @@ select *, not base_failed and word_chars >= 2.5::double * n_words and word_chars
 from b
 """,
     "op4_topk": """
-with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) e from embeddings
+with v as (select vec_id, row_number() over () rn, list_transform(embedding, lambda x: floor(256 * x::double)) e from embeddings
   where vec_id is not null and embedding is not null
   and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 s as (select q.vec_id query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint score
-  from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id),
-r as (select *, row_number() over (partition by query_id order by score desc, vec_id) rank from s)
+  , q.rn from v q join v c on q.vec_id % 50 = 0 and q.rn <> c.rn),
+r as (select *, row_number() over (partition by rn order by score desc, vec_id) rank from s)
 select query_id, rank::int rank, vec_id, score from r where rank <= 5
 """,
     "op5_mixing": f"""
@@ -156,5 +185,47 @@ l as (select o.a, o.b from o join n x on x.doc_id = o.a join n y on y.doc_id = o
 r as (select doc_id a, doc_id b from d union select r.a, l.b from r join l on r.b = l.a)
 select r.a doc_id, coalesce(any_value(n.n), 0)::bigint n_shingles, min(r.b) component_id
 from r left join n on n.doc_id = r.a group by r.a
+""",
+    "op11_negatives": """
+with v as (select vec_id, row_number() over () rn, case when vec_id % 7 = 0 then (label + 1) % 10 else label end l,
+  list_transform(embedding, lambda x: floor(256 * x::double)) e from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+  and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id anchor_id, q.rn an, q.l al, c.vec_id, c.l, list_inner_product(q.e, c.e)::bigint score
+  from v q join v c on q.vec_id % 100 = 0 and q.rn <> c.rn),
+p as (select *, row_number() over (partition by an order by score desc, vec_id) n from s where l = al),
+t as (select p.an, p.n, p.anchor_id, p.vec_id positive_id, p.score positive_score, s.vec_id negative_id, s.score negative_score,
+  row_number() over (partition by p.an, p.n order by s.score desc, s.vec_id) rank
+  from p join s on p.an = s.an and p.n <= 5 and s.l <> s.al and 80 * p.score <= 100 * s.score and s.score <= p.score)
+select anchor_id, positive_id, rank::int rank, negative_id, positive_score, negative_score from t where rank <= 5
 """,
 }
+
+
+def cluster_sql(k: int = 8, rounds: int = 10) -> str:
+    """Rounds written out one after another, as a recursive query cannot aggregate."""
+    parts = [
+        """v as materialized (select row_number() over () rn, vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) e
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)""",
+        f"""c0 as materialized (select row_number() over (order by h, e) - 1 c, e from
+  (select e, sha256('3:' || vec_id) h from v where vec_id is not null) order by h, e limit {k})""",
+    ]
+    nearest = """select rn, c, d from (select v.rn, c.c, list_inner_product(x, x) d, row_number() over (partition by v.rn order by list_inner_product(x, x), c.c) n
+  from v, {centroids} c, lateral (select list_transform(list_zip(v.e, c.e), lambda p: p[1] - p[2]) x)) where n = 1"""
+    for i in range(rounds):
+        parts += [
+            f"a{i} as materialized ({nearest.format(centroids=f'c{i}')})",
+            f"""m{i} as materialized (select c, list(m order by j) e from (select c, j, floor(sum(x::hugeint) / count(*)) m
+  from (select a.c, unnest(range(64)) j, unnest(v.e) x from a{i} a join v using (rn)) group by c, j) group by c)""",
+            f"c{i + 1} as materialized (select c, coalesce(m.e, o.e) e from c{i} o left join m{i} m using (c))",
+        ]
+    return f"""with {", ".join(parts)},
+f as ({nearest.format(centroids=f"c{rounds}")}),
+s as (select c, sum(d)::bigint own from f group by c)
+select vec_id, c::int "cluster", d::bigint distance, own cluster_inertia, (select sum(d)::bigint from f) inertia,
+  sha256(array_to_string(list_transform(z.e, lambda x: x::bigint::varchar), ',')) centroid_sha256
+from f join v using (rn) join s using (c) join c{rounds} z using (c)
+"""
+
+
+SQL["op12_centroids"] = cluster_sql()

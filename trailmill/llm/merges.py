@@ -2,40 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from heapq import heapify, heappop, heappush
 
-#: Up to so many parts a plain scan for the best pair is quicker than a heap.
-SHORT = 48
+#: Up to so many parts the best pair is looked up in a list, beyond it in a heap.
+SHORT = 96
+NEVER = float("inf")
 
 
-def merged(parts: Sequence, rank: Callable) -> list:
-    """``parts`` (strings or bytes) after all merges: lowest rank first, then leftmost.
+def merged(parts: Sequence, ranks: dict) -> list:
+    """``parts`` (strings or bytes) after all merges into pieces of ``ranks``: lowest rank first, then leftmost.
 
-    ``rank`` gives the rank of a joined pair, or None where it is no piece. Long inputs use a heap, so a run
-    of n characters takes n log n steps.
+    Long inputs use a heap, so a run of n characters takes n log n steps.
     """
-    parts = list(parts)
-    return scanned(parts, rank) if len(parts) <= SHORT else heaped(parts, rank)
-
-
-def scanned(parts: list, rank: Callable) -> list:
-    while len(parts) > 1:
-        best = at = None
-        for i in range(len(parts) - 1):
-            found = rank(parts[i] + parts[i + 1])
-            if found is not None and (best is None or found < best):
-                best, at = found, i
-        if best is None:
+    return listed(list(parts), ranks.get) if len(parts) <= SHORT else heaped(list(parts), ranks.get)
+
+
+def listed(parts: list, rank) -> list:
+    found = [rank(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+    while found:
+        best = min(found)
+        if best == NEVER:
             break
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        at = found.index(best)
+        parts[at] += parts.pop(at + 1)
+        del found[at]
+        if at < len(found):
+            found[at] = rank(parts[at] + parts[at + 1], NEVER)
+        if at:
+            found[at - 1] = rank(parts[at - 1] + parts[at], NEVER)
     return parts
 
 
-def heaped(parts: list, rank: Callable) -> list:
+def heaped(parts: list, rank) -> list:
     size = len(parts)
     after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-    heap = [(r, i, x) for i in range(size - 1) if (r := rank(x := parts[i] + parts[i + 1])) is not None]
+    heap = [(r, i, x) for i in range(size - 1) if (r := rank(x := parts[i] + parts[i + 1], NEVER)) != NEVER]
     heapify(heap)
     while heap:
         _, i, joined = heappop(heap)
@@ -49,6 +51,6 @@ def heaped(parts: list, rank: Callable) -> list:
         for left in (before[i], i):
             if left >= 0 and after[left] < size:
                 pair = parts[left] + parts[after[left]]
-                if (r := rank(pair)) is not None:
+                if (r := rank(pair, NEVER)) != NEVER:
                     heappush(heap, (r, left, pair))
     return [p for p in parts if p is not None]

@@ -59,6 +59,7 @@ class Transducer:
 
     def __init__(self, scores: dict[str, float], longest_run: int = 16):
         self.scores = scores
+        self.order = {piece: -score for piece, score in scores.items()}
         self.prefixes = {p[:i] for p in scores for i in range(1, len(p) + 1)}
         self.pairs = {p[i : i + 2] for p in scores for i in range(len(p) - 1)}  # no piece crosses another pair
         self.longest = max(map(len, scores), default=1)
@@ -75,13 +76,9 @@ class Transducer:
         self.states: dict[tuple, State] = {}
         self.words: dict[str, int] = {}
 
-    def rank(self, piece: str) -> float | None:
-        score = self.scores.get(piece)
-        return None if score is None else -score
-
     def merged(self, text: str) -> list[str]:
         """Pieces of a string by the merges themselves, best score first, then leftmost."""
-        return merged(list(text), self.rank)
+        return merged(text, self.order)
 
     def fit(self, left: str | None, right: str) -> bool:
         """Whether ``right`` stays a piece of its own after the piece ``left``."""

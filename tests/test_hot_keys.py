@@ -8,8 +8,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trailmill import scale
-from trailmill.operators import factors, pooling, recommend, retrieval, sequences
+from trailmill.operators import catalogue, factors, pooling, recommend, retrieval, sequences
 from trailmill.operators.cooccurrence import pair_sums
+from trailmill.scale import materialise
 
 
 def same(left, right):
@@ -260,3 +261,83 @@ def test_prefix_pool_over_spans(spark, skewed, decay, span):
             assert nxt == path[t] and np.allclose(vector, expected, atol=1e-9)
             checked += 1
     assert checked == len(found) > 800
+
+
+def random_path(spark, seed=3, sessions=30, items=40):
+    rng = np.random.default_rng(seed)
+    rows = [(s, t, int(rng.integers(items))) for s in range(sessions) for t in range(1, int(rng.integers(2, 25)))]
+    return spark.createDataFrame(rows, "session_id long, click_order int, item_idx int")
+
+
+@pytest.mark.parametrize("name", ["cosine", "prefix", "last", "decayed", "ranks", "lsh"])
+def test_a_catalogue_too_large_to_send_gives_the_same(spark, monkeypatch, name):
+    clicks = materialise(random_path(spark))
+    vectors = spark.createDataFrame(unit_rows(35, 6, 1), "item_idx int, vector array<double>")
+    queries = spark.createDataFrame(unit_rows(30, 6, 2), "session_id long, vector array<double>")
+
+    def run():
+        prefixes = lambda: pooling.prefix_pool(clicks, vectors, 0.3, "item_idx")
+        if name == "cosine":
+            return retrieval.cosine_recs(queries, vectors, clicks, 4)
+        if name == "lsh":
+            return retrieval.lsh_recs(queries, vectors, ["session_id"], k=4, bucket=0.4, directions=retrieval.random_directions(3, 6, 1))
+        if name == "ranks":
+            return retrieval.next_ranks(prefixes(), vectors)
+        long = {"prefix": prefixes, "last": lambda: pooling.last_prefix_pool(clicks, vectors, 0.3, "item_idx"),
+                "decayed": lambda: pooling.decayed_pool(clicks, vectors, 0.8, "item_idx")}[name]()
+        return long.withColumn("vector", F.transform("vector", lambda x: F.round(x, 9)))
+
+    sent = sorted(map(str, run().collect()))
+    monkeypatch.setattr(catalogue, "SENT_BYTES", 900)
+    monkeypatch.setattr(retrieval, "ITEMS_PER_BLOCK", 9)
+    monkeypatch.setattr(retrieval, "QUERIES_PER_CHUNK", 7)
+    assert len(sent) > 20 and sorted(map(str, run().collect())) == sent
+
+
+def test_last_prefix_is_the_last_row_of_all_prefixes(spark):
+    clicks = materialise(random_path(spark, 5))
+    vectors = spark.createDataFrame(unit_rows(35, 4, 1), "item_idx int, vector array<double>")
+    every = {}
+    for r in pooling.prefix_pool(clicks, vectors, 0.2, "item_idx").orderBy("click_order").collect():
+        every[r.session_id] = r.vector
+    last = {r.session_id: r.vector for r in pooling.last_prefix_pool(clicks, vectors, 0.2, "item_idx").collect()}
+    assert set(last) == set(every) and all(np.allclose(last[s], every[s]) for s in last)
+
+
+def test_blocks_are_left_out_without_loss():
+    rng = np.random.default_rng(7)
+    items = rng.normal(size=(500, 5)) * rng.choice([0.1, 1.0, 30.0], size=(500, 1))
+    known = catalogue.Catalogue(np.arange(500), items.copy(), block=16)
+    queries = rng.normal(size=(40, 5))
+    barred = np.repeat(np.arange(40), 3), known.positions(rng.integers(0, 500, 120))
+    rows, ids, scores = catalogue.best(known, queries, 6, barred)
+    full = np.round(queries @ items.T, 9)
+    full[barred[0], known.ids[barred[1]]] = -np.inf
+    for q in range(40):
+        order = sorted(range(500), key=lambda i: (-full[q, i], i))[:6]
+        assert ids[rows == q].tolist() == order and np.allclose(scores[rows == q], full[q, order])
+    wanted = rng.integers(0, 520, 40)
+    plain = np.round(queries @ items.T, 9)
+    ranks = catalogue.ranks_of(known, queries, wanted)
+    for q, w in enumerate(wanted):
+        assert ranks[q] == (0 if w >= 500 else 1 + sum((-plain[q, i], i) < (-plain[q, w], w) for i in range(500)))
+
+
+@pytest.mark.parametrize("rows", [5, 10_000])
+def test_lsh_scores_a_pair_once(spark, monkeypatch, rows):
+    monkeypatch.setattr(catalogue, "SENT_BYTES", 0)
+    monkeypatch.setattr(retrieval, "ITEMS_PER_BLOCK", rows)
+    items, queries = unit_rows(30, 4, 3), unit_rows(12, 4, 4)
+    directions = retrieval.random_directions(4, 4, 2)
+    got = retrieval.lsh_recs(
+        spark.createDataFrame(queries, "session_id long, vector array<double>"), spark.createDataFrame(items, "item_idx int, vector array<double>"),
+        ["session_id"], k=50, bucket=0.7, threshold=2.0, directions=directions,
+    ).collect()
+    unit_of = lambda v: np.array(v) / np.linalg.norm(v)
+    want = set()
+    for q, v in queries:
+        for i, w in items:
+            a, b = (np.floor(directions @ unit_of(x) / 0.7) for x in (v, w))
+            if (a == b).any():
+                want.add((q, i))
+    assert sorted((r.session_id, r.item_idx) for r in got) == sorted(want)

@@ -79,6 +79,21 @@ def prefix_metrics(recs: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
+def next_rank_metrics(ranks: DataFrame, n: int = 10) -> DataFrame:
+    """Recall and NDCG over all prefixes from the rank of the next item, null where it could not be ranked.
+
+    Both are sums of whole numbers of prefixes per rank, so they do not depend on the order of additions.
+    """
+    counts = ranks.groupBy(F.when(F.col("rank") <= n, F.col("rank")).alias("rank")).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n")
+    gain = F.when(F.col("rank").isNotNull(), F.col("n") / F.log2(F.col("rank") + 1.0))
+    return counts.agg(
+        F.coalesce(F.sum(F.when(F.col("rank").isNotNull(), F.col("n"))) / total, F.lit(0.0)).alias("recall"),
+        F.coalesce(F.sum(gain) / total, F.lit(0.0)).alias("ndcg"),
+        F.coalesce(total, F.lit(0)).alias("prefixes"),
+    )
+
+
 def long_metrics(track: str, model: str, row: DataFrame) -> DataFrame:
     """One-row metric frame as (track, model, metric, value) rows."""
     entries = F.array(

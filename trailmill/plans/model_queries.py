@@ -151,9 +151,46 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    c, items = clicks(spark, sf_dir), item_vectors(spark, sf_dir)
-    prefixes = pooling.prefix_pool(c, items, 0.01, "item_no")
-    return retrieval.last_prefix_recs(prefixes, numbered(items), numbered(c))
+    c, items = materialise(clicks(spark, sf_dir).select("session_id", "click_order", "item_no")), item_vectors(spark, sf_dir)
+    pooled = pooling.last_prefix_pool(c, items, 0.01, "item_no")
+    return retrieval.last_prefix_recs(pooled, numbered(items), numbered(c))
+
+
+NEXT_RANKS_CTE = (
+    PREFIX_CTE
+    + """,
+queries as (select session_id, click_order, any_value(next) as next, list(x order by dim) as q from pooled group by all),
+scored as (select session_id, click_order, next, item_no, round(list_dot_product(q, v)
+    / (sqrt(list_dot_product(q, q)) * sqrt(list_dot_product(v, v))), 9) as score from queries, vecs),
+own as (select session_id, click_order, score from scored where item_no = next),
+ranks as (select s.session_id, s.click_order, any_value(s.next) as next,
+  case when any_value(o.score) is not null then count_if(s.score > o.score or (s.score = o.score and item_no < s.next)) + 1 end as rank
+  from scored s left join own o using (session_id, click_order) group by s.session_id, s.click_order)"""
+)
+
+
+def prefix_ranks(spark, sf_dir):
+    items = item_vectors(spark, sf_dir)
+    prefixes = pooling.prefix_pool(clicks(spark, sf_dir), items, 0.01, "item_no")
+    return retrieval.next_ranks(prefixes, numbered(items))
+
+
+@query("next_item_ranks", on_clicks("select * from ranks", NEXT_RANKS_CTE))
+def _(spark, sf_dir):
+    return prefix_ranks(spark, sf_dir)
+
+
+@query(
+    "all_prefix_metrics",
+    on_clicks(
+        """select round(avg(case when rank <= 10 then 1.0 else 0.0 end), 9) as recall,
+        round(avg(case when rank <= 10 then 1.0 / log2(rank + 1.0) else 0.0 end), 9) as ndcg, count(*) as prefixes from ranks""",
+        NEXT_RANKS_CTE,
+    ),
+)
+def _(spark, sf_dir):
+    row = evaluate.next_rank_metrics(prefix_ranks(spark, sf_dir))
+    return row.withColumns({c: F.round(c, 9) for c in ("recall", "ndcg")})
 
 
 @query(
@@ -411,19 +448,48 @@ def _(spark, sf_dir):
     return retrieval.cosine_recs(pooled, learnt, t.history)
 
 
-@query("lsh_retrieval")
-def _(spark, sf_dir):
+#: Hash directions of the checked retrieval, the same on every machine.
+DIRECTIONS = retrieval.random_directions(5, 64, 42)
+LSH_CTE = (
+    PREFIX_CTE
+    + f""",
+dirs as (select [{", ".join("[" + ", ".join(map(repr, row)) + "]" for row in DIRECTIONS.tolist())}]::double[][] as ds),
+queries as (select session_id, click_order, any_value(next) as next, list(x order by dim) as q from pooled group by all),
+asked as (select session_id, click_order, next, list_transform(q, lambda x: x / sqrt(list_dot_product(q, q))) as u from queries),
+known as (select item_no, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) as u from vecs),
+qh as (select a.*, list_transform(ds, lambda d: floor(list_dot_product(u, d))) as h from asked a, dirs),
+ih as (select k.*, list_transform(ds, lambda d: floor(list_dot_product(u, d))) as h from known k, dirs),
+near as (select session_id, click_order, next, item_no as item_idx,
+  round(sqrt(greatest(2 - 2 * round(list_dot_product(q.u, i.u), 9), 0)), 9) as distance
+  from qh q, ih i where q.h[1] = i.h[1] or q.h[2] = i.h[2] or q.h[3] = i.h[3] or q.h[4] = i.h[4] or q.h[5] = i.h[5]),
+recs as (select * from (select *, cast(row_number() over (partition by session_id, click_order, next
+  order by distance, item_idx) as int) as rank from near where distance <= 1.3) where rank <= 10)"""
+)
+
+
+def lsh_recs(spark, sf_dir):
     c, items = clicks(spark, sf_dir), item_vectors(spark, sf_dir)
     prefixes = pooling.prefix_pool(c, items, 0.01, "item_no")
-    return retrieval.lsh_recs(prefixes, numbered(items), ["session_id", "click_order", "next"])
+    return retrieval.lsh_recs(prefixes, numbered(items), ["session_id", "click_order", "next"], directions=DIRECTIONS)
 
 
-@query("lsh_metrics")
+@query("lsh_retrieval", on_clicks("select * from recs", LSH_CTE))
 def _(spark, sf_dir):
-    c, items = clicks(spark, sf_dir), item_vectors(spark, sf_dir)
-    prefixes = pooling.prefix_pool(c, items, 0.01, "item_no")
-    recs = retrieval.lsh_recs(prefixes, numbered(items), ["session_id", "click_order", "next"])
-    return evaluate.prefix_metrics(recs)
+    return lsh_recs(spark, sf_dir)
+
+
+@query(
+    "lsh_metrics",
+    on_clicks(
+        """select round(avg(hit), 9) as recall, round(avg(gain), 9) as ndcg, count(*) as prefixes from (
+        select max(cast(item_idx = next as int)) as hit, max(case when item_idx = next then 1.0 / log2(rank + 1.0) else 0.0 end) as gain
+        from recs group by session_id, click_order)""",
+        LSH_CTE,
+    ),
+)
+def _(spark, sf_dir):
+    row = evaluate.prefix_metrics(lsh_recs(spark, sf_dir))
+    return row.withColumns({c: F.round(c, 9) for c in ("recall", "ndcg")})
 
 
 @query(

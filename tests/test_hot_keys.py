@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trailmill import scale
-from trailmill.operators import catalogue, factors, pooling, recommend, retrieval, sequences
+from trailmill.operators import catalogue, factors, graph, pooling, recommend, retrieval, rules, sequences
 from trailmill.operators.cooccurrence import pair_sums
 from trailmill.scale import materialise
 
@@ -341,3 +341,50 @@ def test_lsh_scores_a_pair_once(spark, monkeypatch, rows):
             if (a == b).any():
                 want.add((q, i))
     assert sorted((r.session_id, r.item_idx) for r in got) == sorted(want)
+
+
+def test_links_move_once(spark, monkeypatch):
+    monkeypatch.setattr(scale, "BROADCAST_ROWS", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = [(0, i) for i in range(1, 200)] + [(i, i % 7) for i in range(1, 200)]
+        links = graph.Links(spark.createDataFrame(edges, "src long, dst long"), 200)
+        assert [r.src for r in links.spread.select("src").distinct().collect()] == [0]  # the hub stays spread out
+        values = links.by_id(spark.range(200).withColumn("rank", F.lit(1.0)))
+        round_ = links.joined(values).groupBy(F.col("dst").alias("id")).agg(F.sum("rank").alias("rank"))
+        again = links.joined(values.select("id").join(round_, "id", "left"))
+        plan = again._jdf.queryExecution().executedPlan().toString()
+        moved = [line for line in plan.splitlines() if "ENSURE_REQUIREMENTS" in line]
+        assert moved and all("hashpartitioning(dst" in line for line in moved), plan
+        assert again.count() == len(edges)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ranks_and_labels_do_not_depend_on_the_path(spark, monkeypatch):
+    rng = random.Random(5)
+    edges = sorted({(rng.randrange(40), rng.randrange(40)) for _ in range(150)} | {(0, i) for i in range(1, 40)})
+    edges = spark.createDataFrame([e for e in edges if e[0] != e[1]], "src long, dst long")
+    vertices = spark.range(40)
+    run = lambda: (
+        [(r.id, round(r["rank"], 9)) for r in graph.pagerank(vertices, edges, 23).orderBy("id").collect()],
+        [tuple(r) for r in graph.label_propagation(vertices, edges, 6).orderBy("id").collect()],
+    )
+    small = run()
+    monkeypatch.setattr(scale, "BROADCAST_ROWS", -1)
+    assert run() == small
+
+
+@pytest.mark.parametrize("min_pairs", [1, 3])
+def test_bitmap_and_listed_pairs_agree(spark, monkeypatch, min_pairs):
+    rng = random.Random(9)
+    rows = [(s % 3, s, rng.choice("ABCDEFGHIJ") if rng.random() < 0.9 else None) for s in range(120) for _ in range(rng.randrange(1, 7))]
+    clicks = spark.createDataFrame([(f"g{g}", s, i) for g, s, i in rows], "region string, session_id long, item_id string")
+    run = lambda: rules.pair_rules(clicks, "item_id", "region", min_pairs)
+    maps = run()
+    found = sorted(map(tuple, maps.collect()))
+    monkeypatch.setattr(rules, "BITS", 3)
+    assert found and sorted(map(tuple, run().collect())) == found
+    every = rules.pair_rules(clicks, "item_id", "region")
+    assert sorted(map(tuple, rules.rule_between(every, "C", "B").collect())) == sorted(map(tuple, rules.rule_of_two(clicks, "item_id", "region", "C", "B").collect()))
+    assert sorted(map(tuple, rules.rules_of(every, "region", "g1").collect())) == sorted(map(tuple, rules.rules_within(clicks, "item_id", "region", "g1").collect()))

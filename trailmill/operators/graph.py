@@ -55,36 +55,84 @@ def connected_vertices(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     return vertices.join(both_ends(edges).select("id").distinct(), "id", "left_semi")
 
 
-def pagerank(vertices: DataFrame, edges: DataFrame, rounds: int = 100, reset: float = 0.15) -> DataFrame:
+class Links:
+    """Directed links placed once for a loop that joins a value per vertex to them again and again.
+
+    Values of few vertices are sent to the links. Otherwise links are exchanged once, by their ``src``, and stay there: the
+    values arrive by the same key, so a round moves values only. Sources with a large part of the
+    links stay spread out, and the values of these few are sent.
+    """
+
+    def __init__(self, links: DataFrame, size: int):
+        self.small = is_small(size)
+        self.kept: list[DataFrame] = []
+        self.parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if self.small:
+            self.spread, self.placed = materialise(links), None
+            return
+        links = materialise(links)
+        limit = max(1, links.count() // (4 * self.parts))
+        hubs = links.groupBy("src").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select("src")
+        self.hubs = F.broadcast(materialise(hubs))  # fewer than four per partition
+        self.spread = materialise(links.join(self.hubs, "src", "left_semi"))
+        self.placed = self.keep(links.join(self.hubs, "src", "left_anti"), "src")
+
+    def by_id(self, values: DataFrame) -> DataFrame:
+        """``values`` placed by ``id`` like the links by ``src``."""
+        if self.small:
+            return values
+        return self.keep(values, "id")
+
+    def keep(self, frame: DataFrame, key: str) -> DataFrame:
+        placed = frame.repartition(self.parts, key).persist()
+        placed.count()  # only a finished plan tells joins how it is partitioned
+        self.kept.append(placed)
+        return placed
+
+    def close(self) -> None:
+        """Give the kept partitions back; what was lost with an executor meanwhile is made again from the written links."""
+        for frame in self.kept:
+            frame.unpersist()
+
+    def joined(self, values: DataFrame) -> DataFrame:
+        """Links with the value of their source; ``values`` has ``id``."""
+        renamed = values.withColumnRenamed("id", "src")
+        if self.small:
+            return self.spread.join(F.broadcast(renamed), "src")
+        few = F.broadcast(renamed.join(self.hubs, "src", "left_semi"))
+        return self.placed.join(renamed, "src").unionByName(self.spread.join(few, "src"))
+
+
+def pagerank(
+    vertices: DataFrame, edges: DataFrame, rounds: int = 100, reset: float = 0.15, every: int = 10
+) -> DataFrame:
     """Rank = reset + (1 - reset) * sum of source ranks over their out-degrees.
 
     All vertices start at 1. Where vertices without out-edges leak rank, the result
-    is scaled so that ranks add up to the number of vertices.
+    is scaled so that ranks add up to the number of vertices. Few ranks are written every few rounds, many every round.
     """
-    links = materialise(edges.select("src", "dst"))
-    degrees = links.groupBy("src").agg((1.0 / F.count(F.lit(1))).alias("share"))
-    links = materialise(links.join(bounded_side(degrees), "src"))
+    plain = materialise(edges.select("src", "dst"))
+    degrees = plain.groupBy("src").agg((1.0 / F.count(F.lit(1))).alias("share"))
     ids, size = counted(vertices.select("id").distinct())
-    small = is_small(size)
-    ranks = bounded_side(ids.withColumn("rank", F.lit(1.0)), small=small)
-    for _ in range(rounds):
-        gained = (
-            links.join(ranks, F.col("src") == F.col("id"))
-            .groupBy(F.col("dst").alias("id"))
-            .agg(F.sum(F.col("rank") * F.col("share")).alias("gain"))
-        )
-        fresh = ids.join(gained, "id", "left").select(
+    links = Links(plain.join(hinted(degrees, is_small(size)), "src"), size)
+    ids = links.by_id(ids)
+    ranks = ids.withColumn("rank", F.lit(1.0))
+    for number in range(1, rounds + 1):
+        gained = links.joined(ranks).groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("share")).alias("gain"))
+        ranks = ids.join(gained, "id", "left").select(
             "id", (F.lit(reset) + (1 - reset) * F.coalesce("gain", F.lit(0.0))).alias("rank")
         )
-        ranks = bounded_side(fresh, small=small)
-    leaks = ids.join(links.select(F.col("src").alias("id")).distinct(), "id", "left_anti")
+        if number % every == 0 or number == rounds or not links.small:  # a large frame is read twice in a round
+            ranks = materialise(ranks)
+    links.close()
+    leaks = ids.join(plain.select(F.col("src").alias("id")).distinct(), "id", "left_anti")
     if not has_at_most(leaks, 0):
         total = ranks.agg(F.sum("rank")).first()[0]
         ranks = ranks.withColumn("rank", F.col("rank") * F.lit(size / total))
     return ranks
 
 
-def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Connected components, direction ignored; a component is named by its smallest vertex.
 
     Each round takes the smallest label among the neighbours and then follows that
@@ -93,7 +141,7 @@ def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) ->
     links = materialise(both_ends(edges).filter(F.col("id") != F.col("other")).distinct())
     labels, size = counted(vertices.select("id", F.col("id").alias("component")).distinct())
     small = is_small(size)
-    for _ in range(max_rounds):
+    while True:
         near = (
             links.join(hinted(labels, small).withColumnRenamed("id", "other"), "other")
             .groupBy("id")
@@ -115,7 +163,6 @@ def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) ->
         labels = moved.select("id", "component")
         if changes == 0:
             return labels
-    raise RuntimeError(f"components still change after {max_rounds} rounds")
 
 
 def triangles(edges: DataFrame) -> DataFrame:
@@ -148,21 +195,33 @@ def triangles(edges: DataFrame) -> DataFrame:
 
 
 def label_propagation(vertices: DataFrame, edges: DataFrame, rounds: int = 10) -> DataFrame:
-    """Every vertex takes the most frequent label around it; the smallest one on ties."""
-    links = materialise(both_ends(edges))
+    """Every vertex takes the most frequent label around it; the smallest one on ties.
+
+    From the second round on only vertices next to one that changed vote again. Stops when nothing changes.
+    """
+    plain = materialise(both_ends(edges))
     labels, size = counted(vertices.select("id", F.col("id").alias("label")).distinct())
-    small = is_small(size)
+    links = Links(plain.select(F.col("other").alias("src"), F.col("id").alias("dst")), size)
+    labels = links.by_id(labels)
+    moved = None
     for _ in range(rounds):
+        ballots = links.joined(labels)
+        if moved is not None:
+            near = links.joined(moved.select("id")).select("dst").distinct()
+            ballots = ballots.join(hinted(near, links.small), "dst", "left_semi")
         votes = (
-            links.join(hinted(labels, small).withColumnRenamed("id", "other"), "other")
-            .groupBy("id", "label")
-            .agg(F.count(F.lit(1)).alias("votes"))
-            .groupBy("id")
-            .agg(smallest_mode("label", "votes").alias("voted"))
+            ballots.groupBy("dst", "label").agg(F.count(F.lit(1)).alias("votes"))
+            .groupBy(F.col("dst").alias("id")).agg(smallest_mode("label", "votes").alias("voted"))
+        )
+        fresh = labels.join(votes, "id", "left").select(
+            "id", F.coalesce("voted", "label").alias("label"), (F.col("voted") != F.col("label")).alias("moved")
         )
-        fresh = labels.join(votes, "id", "left").select("id", F.coalesce("voted", "label").alias("label"))
-        labels = materialise(fresh)
-    return labels
+        written, changes = watched(fresh, F.count_if("moved"))
+        labels, moved = written.select("id", "label"), written.filter("moved")
+        if changes == 0:
+            break
+    links.close()
+    return labels if rounds else materialise(labels)
 
 
 def power_iteration(edges: DataFrame, k: int = 10, rounds: int = 50) -> DataFrame:

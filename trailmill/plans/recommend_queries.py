@@ -62,7 +62,7 @@ def _pagerank_sql(rounds):
             "r0 as (select id, cast(1 as double) as rank from verts)"]
     for i in range(1, rounds + 1):
         ctes.append(
-            f"""r{i} as (select id, 0.15 + 0.85 * coalesce(sum(gain), 0) as rank from verts left join
+            f"""r{i} as materialized (select id, 0.15 + 0.85 * coalesce(sum(gain), 0) as rank from verts left join
             (select dst, rank * share as gain from links join r{i - 1} on src = id) on dst = verts.id group by id)"""
         )
     return on_clicks(f"select id, round(rank, 8) as rank from r{rounds}", ",".join(ctes))
@@ -74,6 +74,12 @@ def _(spark, sf_dir):
     return ranks.select("id", F.round("rank", 8).alias("rank"))
 
 
+@query("pagerank_100", _pagerank_sql(100))
+def _(spark, sf_dir):
+    ranks = graph.pagerank(*pruned(spark, sf_dir), rounds=100)
+    return ranks.select("id", F.round("rank", 8).alias("rank"))
+
+
 @query(
     "components",
     on_clicks(
@@ -105,7 +111,7 @@ def _label_cte(rounds):
             "l0 as (select id, id as label from verts)"]
     for i in range(1, rounds + 1):
         ctes.append(
-            f"""l{i} as (select id, label from (select ends.id, label, row_number() over
+            f"""l{i} as materialized (select id, label from (select ends.id, label, row_number() over
             (partition by ends.id order by count(*) desc, label) as rn
             from ends join l{i - 1} p on ends.other = p.id group by ends.id, label) where rn = 1)"""
         )
@@ -117,6 +123,11 @@ def label_prop_3(spark, sf_dir):
     return graph.label_propagation(*pruned(spark, sf_dir), rounds=3).select("id", "label")
 
 
+@query("label_prop_10", on_clicks("select id, label from l10", _label_cte(10)))
+def label_prop_10(spark, sf_dir):
+    return graph.label_propagation(*pruned(spark, sf_dir), rounds=10).select("id", "label")
+
+
 @query(
     "community_profile",
     on_clicks(

@@ -295,8 +295,13 @@ def category_rules(spark, sf_dir):
     return rules.pair_rules(baskets(spark, sf_dir), "category", "region")
 
 
-@query("product_rules", on_baskets("select * from rules", _rules_cte("colour")))
-def product_rules(spark, sf_dir):
+@query("product_rules", on_baskets("select * from rules where pair_count >= 2", _rules_cte("item_id")))
+def _(spark, sf_dir):
+    return rules.pair_rules(baskets(spark, sf_dir), "item_id", "region", min_pairs=2)
+
+
+@query("brand_rules", on_baskets("select * from rules", _rules_cte("colour")))
+def _(spark, sf_dir):
     return rules.pair_rules(baskets(spark, sf_dir), "colour", "region")
 
 
@@ -325,7 +330,7 @@ def _(spark, sf_dir):
     on_baskets("select * from rules where pair_count >= 5 and support > 0", _rules_cte("colour")),
 )
 def _(spark, sf_dir):
-    return rules.strong_rules(product_rules(spark, sf_dir), 5)
+    return rules.strong_rules(rules.pair_rules(baskets(spark, sf_dir), "colour", "region", 5), 5)
 
 
 @query(
@@ -337,7 +342,7 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    return rules.rules_of(category_rules(spark, sf_dir), "region", "ASIA")
+    return rules.rules_within(baskets(spark, sf_dir), "category", "region", "ASIA")
 
 
 @query(
@@ -345,7 +350,7 @@ def _(spark, sf_dir):
     on_baskets("select * from rules where item_a = 'ECONOMY' and item_b = 'SMALL'", _rules_cte("category")),
 )
 def _(spark, sf_dir):
-    return rules.rule_between(category_rules(spark, sf_dir), "SMALL", "ECONOMY")
+    return rules.rule_of_two(baskets(spark, sf_dir), "category", "region", "SMALL", "ECONOMY")
 
 
 @query(

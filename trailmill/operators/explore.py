@@ -80,6 +80,30 @@ def approx_summary(df: DataFrame, value: str, accuracy: int = 10_000) -> DataFra
     )
 
 
+#: Three standard errors of a distinct count with 2^12 registers, and the rank error of a quantile sketch of size 200.
+REGISTERS = 12
+COUNT_ERROR = 3 * 1.04 / 64
+RANK_ERROR = 0.0165
+
+
+def activity_sketches(df: DataFrame, keys: list[str], counted: str, value: str) -> DataFrame:
+    """A distinct-count and a quantile sketch per key, to be stored and merged by any coarser key."""
+    return df.groupBy(*keys).agg(
+        F.hll_sketch_agg(counted, REGISTERS).alias("distinct_sketch"), F.kll_sketch_agg_double(F.col(value).cast("double")).alias("value_sketch")
+    )
+
+
+def merged_sketches(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """Estimated distinct count and quartiles per coarser key, from stored sketches alone."""
+    merged = sketches.groupBy(*keys).agg(
+        F.hll_union_agg("distinct_sketch").alias("d"), F.kll_merge_agg_double("value_sketch").alias("v")
+    )
+    quantile = lambda q: F.kll_sketch_get_quantile_double("v", F.lit(q))
+    return merged.select(
+        *keys, F.hll_sketch_estimate("d").alias("sessions_estimate"), quantile(0.25).alias("q1"), quantile(0.5).alias("median"), quantile(0.75).alias("q3")
+    )
+
+
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Rows per equal-width bin between the smallest and largest value."""
     low, high = df.agg(F.min(value).cast("double"), F.max(value).cast("double")).first()

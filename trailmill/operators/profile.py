@@ -114,5 +114,6 @@ def pair_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def sample_per_group(df: DataFrame, group: str, key: Sequence[str], n: int, seed: int) -> DataFrame:
     """n pseudo-random rows per group, ordered by a seeded hash of the row key."""
-    w = Window.partitionBy(group).orderBy(F.xxhash64(F.lit(seed), *key), *key)
+    order = F.md5(F.concat_ws(":", F.lit(seed), *[F.col(c).cast("string") for c in key]).cast("binary"))
+    w = Window.partitionBy(group).orderBy(order, *key)
     return df.withColumn("pick", F.row_number().over(w)).filter(F.col("pick") <= n)

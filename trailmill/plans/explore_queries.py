@@ -9,7 +9,9 @@ from trailmill.functions import scalars
 from trailmill.functions.aggregates import code_count
 from trailmill.operators import explore, profile, quality, sessions
 from trailmill.plans.registry import mean_sql, on_baskets, on_clicks, query
-from trailmill.sources.tables import baskets, click_facts, clicks
+from trailmill.scale import materialise
+from trailmill.sources import io
+from trailmill.sources.tables import baskets, click_facts, clicks, table
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -446,6 +448,34 @@ def _(spark, sf_dir):
     return summary.withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3")})
 
 
+@query(
+    "activity_sketches",
+    on_baskets(
+        """select region, count(distinct session_id) as sessions, count(price) as clicks, 0.0::double as sessions_off, 0.0::double as median_off
+        from baskets group by region"""
+    ),
+)
+def _(spark, sf_dir):
+    """Sketches per day and region, written and merged per region, next to the exact answers.
+
+    ``off`` columns count whole multiples of the error that each sketch states, so 0 means within it.
+    """
+    rows = materialise(baskets(spark, sf_dir).select("region", "click_date", "session_id", "price"))
+    stored = materialise(explore.activity_sketches(rows, ["click_date", "region"], "session_id", "price"))
+    merged = explore.merged_sketches(stored, ["region"])
+    exact = rows.groupBy("region").agg(F.count_distinct("session_id").alias("sessions"), F.count("price").alias("clicks"))
+    below = rows.join(F.broadcast(merged.select("region", "median")), "region").groupBy("region").agg(  # one row a region
+        F.count_if(F.col("price") < F.col("median")).alias("below"), F.count_if(F.col("price") <= F.col("median")).alias("upto")
+    )
+    half = F.col("clicks") / 2
+    missed = F.greatest(F.col("below") - half, half - F.col("upto"), F.lit(0.0)) / F.col("clicks")
+    return exact.join(merged, "region").join(below, "region").select(
+        "region", "sessions", "clicks",
+        F.floor(F.abs(F.col("sessions_estimate") - F.col("sessions")) / F.col("sessions") / explore.COUNT_ERROR).cast("double").alias("sessions_off"),
+        F.floor(missed / explore.RANK_ERROR).cast("double").alias("median_off"),
+    )
+
+
 @query("price_summary_approx")
 def _(spark, sf_dir):
     return explore.approx_summary(click_facts(spark, sf_dir), "price")
@@ -777,7 +807,14 @@ def _(spark, sf_dir):
     return profile.dominant_value(clicks(spark, sf_dir), "session_id", "category")
 
 
-@query("sample_per_group")
+@query(
+    "sample_per_group",
+    on_clicks(
+        """select * exclude (price_above_avg) from (select *, cast(row_number() over (partition by location
+        order by md5(concat('42:', session_id, ':', click_order)), session_id, click_order) as int) as pick from clicks)
+        where pick <= 5"""
+    ),
+)
 def _(spark, sf_dir):
     return profile.sample_per_group(
         clicks(spark, sf_dir), "location", ["session_id", "click_order"], 5, seed=42
@@ -794,3 +831,16 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     counts = profile.pair_counts(baskets(spark, sf_dir), ["region", "category"])
     return counts.orderBy(F.asc("region"), F.desc("clicks"), F.asc("category")).limit(12)
+
+
+@query(
+    "table_preview",
+    """with s as (select column_name as "column", lower(column_type) as kind from (describe select n_nationkey, n_name, n_regionkey from nation))
+    select "column", case kind when 'varchar' then 'string' when 'integer' then 'int' else kind end as kind,
+    (select count(*) from nation) as "rows", case "column" when 'n_name' then (select min(n_name) from nation)
+      when 'n_nationkey' then (select cast(min(n_nationkey) as varchar) from nation)
+      else (select cast(arg_min(n_regionkey, n_nationkey) as varchar) from nation) end as first_value from s""",
+)
+def _(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey").orderBy("n_nationkey")
+    return io.described(nation, 5)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import PipelineModel
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +28,7 @@ from trailmill.operators import (
     topics,
 )
 from trailmill.plans.explore_queries import located
-from trailmill.plans.recommend_queries import TRACK_CTE, metric_rows, track
+from trailmill.plans.recommend_queries import ALL_CTE, INDEX_CTE, SQL_NAMES, TRACK_CTE, _long_sql, metric_rows, model_recs, track
 from trailmill.plans.registry import mean_sql, on_clicks, query
 from trailmill.scale import checkpoint_dir, materialise
 from trailmill.sources import io
@@ -372,12 +373,26 @@ def _(spark, sf_dir):
 
 @query("tfidf_clusters")
 def _(spark, sf_dir):
-    docs = materialise(sequences.session_sequences(clicks(spark, sf_dir)))
-    size = click_facts(spark, sf_dir).select("item_id").distinct().count()
-    points = features.tfidf_pipeline(size).fit(docs).transform(docs)
+    bags, _ = features.session_bags(clicks(spark, sf_dir))
+    points = features.tfidf_pipeline().fit(bags := materialise(bags)).transform(bags)
     return clusters.k_sweep({"kmeans": KMeans(maxIter=30)}, materialise(points.select("unit_norm")), (3, 6), "unit_norm", "cosine")
 
 
+@query(
+    "session_bags",
+    on_clicks(
+        """select session_id, item_idx, cast(count(*) as double) as n, (select count(*) from idx) as size
+        from clicks join idx using (item_id) group by session_id, item_idx""",
+        INDEX_CTE,
+    ),
+)
+def _(spark, sf_dir):
+    bags, _ = features.session_bags(clicks(spark, sf_dir))
+    dense = vector_to_array("bow")
+    listed = bags.select("session_id", F.size(dense).cast("long").alias("size"), F.posexplode(dense).alias("item_idx", "n"))
+    return listed.filter("n > 0").select("session_id", "item_idx", "n", "size")
+
+
 def trained_vectors(spark, sf_dir, rounds=1):
     docs = materialise(sequences.session_sequences(clicks(spark, sf_dir)))
     return embeddings.item_vectors(embeddings.fit_sequences(docs, rounds=rounds))
@@ -402,25 +417,33 @@ def _(spark, sf_dir):
 
 
 @query("lda_sweep")
+def lda_sweep(spark, sf_dir):
+    bags, _ = features.session_bags(clicks(spark, sf_dir))
+    return topics.lda_sweep(materialise(bags), range(2, 15), rounds=30)
+
+
+@query("best_topics")
 def _(spark, sf_dir):
-    docs = materialise(sequences.session_sequences(clicks(spark, sf_dir)))
-    return topics.lda_sweep(docs, 10_000, (2, 4, 6), rounds=10)
+    bags, _ = features.session_bags(clicks(spark, sf_dir))
+    return topics.best_topics(topics.lda_sweep(materialise(bags), (2, 4, 6), rounds=30))
+
+
+def topic_items(spark, sf_dir):
+    bags, index = features.session_bags(clicks(spark, sf_dir))
+    return materialise(topics.topic_terms(topics.fit_topics(materialise(bags), k=4, rounds=30), index))
 
 
 @query("lda_topics")
 def _(spark, sf_dir):
-    docs = materialise(sequences.session_sequences(clicks(spark, sf_dir)))
-    terms = topics.topic_terms(topics.fit_topics(docs, 10_000, k=4, rounds=10))
     attributes = click_facts(spark, sf_dir).select("item_id", "colour", "location", "photo_type").distinct()
-    return terms.join(attributes, "item_id", "left")
+    return topic_items(spark, sf_dir).join(attributes, "item_id", "left")
 
 
 @query("topic_profile")
 def _(spark, sf_dir):
-    docs = materialise(sequences.session_sequences(clicks(spark, sf_dir)))
-    terms = materialise(topics.topic_terms(topics.fit_topics(docs, 10_000, k=4, rounds=10)))
-    attributes = click_facts(spark, sf_dir).select("item_id", "colour", "location", "photo_type").distinct()
-    return profile.group_modes(terms.join(attributes, "item_id"), "topic", ["colour", "location", "photo_type"])
+    """Prices, pages, photos and modes of the clicks on the strongest items of each topic."""
+    members = topic_items(spark, sf_dir).select("topic", "item_id")
+    return profile.group_profile(clicks(spark, sf_dir).join(F.broadcast(members), "item_id"), "topic")  # 15 a topic
 
 
 @query("als_recs")
@@ -438,11 +461,33 @@ def _(spark, sf_dir):
     return factors.fold_in_recs(t.history, items, t.history)
 
 
+@query(
+    "given_foldin",
+    on_clicks(
+        """select session_id, round((b1 * a22 - b2 * a12) / (a11 * a22 - a12 * a12), 9) as x1,
+        round((b2 * a11 - b1 * a12) / (a11 * a22 - a12 * a12), 9) as x2 from (
+        select session_id, any_value(g11) + 0.1 + sum(w * x * x) as a11, any_value(g12) + sum(w * x * y) as a12,
+          any_value(g22) + 0.1 + sum(w * y * y) as a22, sum((1 + w) * x) as b1, sum((1 + w) * y) as b2 from (
+          select session_id, 80.0 * count(*) as w, any_value(v[1]) as x, any_value(v[2]) as y
+          from clicks join vecs using (item_no) group by session_id, item_no),
+          (select sum(v[1] * v[1]) as g11, sum(v[1] * v[2]) as g12, sum(v[2] * v[2]) as g22 from vecs)
+        group by session_id)""",
+        VECS_CTE,
+    ),
+)
+def _(spark, sf_dir):
+    """Fold-in with given item factors: two components of the vectors, where the normal equations have a closed form."""
+    items = numbered(item_vectors(spark, sf_dir)).withColumn("vector", F.slice("vector", 1, 2))
+    history = clicks(spark, sf_dir).groupBy("session_id", F.col("item_no").alias("item_idx")).agg(F.count(F.lit(1)).alias("click_count"))
+    found = factors.fold_in(history, items, reg=0.1, alpha=80.0)
+    return found.select("session_id", F.round(F.col("vector")[0], 9).alias("x1"), F.round(F.col("vector")[1], 9).alias("x2"))
+
+
 @query("item2vec_recs")
 def _(spark, sf_dir):
     t = track(spark, sf_dir)
     docs = sequences.session_sequences(t.train_clicks)
-    model = embeddings.fit_sequences(docs, rounds=20, max_length=1000, seed=42)
+    model = embeddings.fit_sequences(docs, rounds=20, seed=42)
     learnt = materialise(embeddings.item_vectors(model).join(t.index, "item_id").select("item_id", "item_idx", "vector"))
     pooled = pooling.decayed_pool(t.context, learnt, 0.8)
     return retrieval.cosine_recs(pooled, learnt, t.history)
@@ -563,11 +608,51 @@ def _(spark, sf_dir):
 
 @query("roundtrip_json")
 def _(spark, sf_dir):
-    path = fresh_folder(spark)
-    io.write_metrics(metric_rows(spark, sf_dir), path)
+    path, t = fresh_folder(spark), track(spark, sf_dir)
+    models = {name: recs for name, recs in model_recs(t).items() if name != "markov"}
+    io.write_metrics(metric_rows(t, models, ["warm"]), path)
     return io.nested_metrics(io.read_metrics(spark, path))
 
 
+#: Parameters of the learnt models, as the document reports them.
+PARAMS = {
+    "als": {"rank": factors.RANK, "alpha": factors.ALPHA, "regParam": factors.REG},
+    "item2vec": {"vectorSize": 32, "windowSize": 5, "maxIter": 20, "minCount": 5},
+}
+
+
+@query(
+    "metrics_document",
+    on_clicks(
+        f"""select 'metrics' as section, track || '/' || model as owner, metric as name, value from ({_long_sql(SQL_NAMES, ["warm", "cold"])})
+        where value is not null
+        union all select 'top_items', cast(row_number() over (order by views desc, item_id) as varchar), item_id, cast(views as double) from (
+          select item_id, cast(sum(click_count) as bigint) as views from train join idx using (item_idx)
+          group by item_id order by views desc, min(item_idx) limit 10)
+        union all select 'params', o, n, cast(v as double) from (values {", ".join(f"('{o}', '{n}', {v})" for o, x in PARAMS.items() for n, v in x.items())}) p(o, n, v)""",
+        ALL_CTE,
+    ),
+)
+def _(spark, sf_dir):
+    path, t = fresh_folder(spark), track(spark, sf_dir)
+    top = evaluate.most_viewed(t.train, t.index).select("item_id", F.col("clicks").alias("views"))
+    io.write_document(metric_rows(t, model_recs(t)), top, PARAMS, path)
+    return io.read_document(spark, path).filter("value is not null")
+
+
+@query("model_comparison_all")
+def _(spark, sf_dir):
+    """All five models on both tracks; the learnt ones have no SQL."""
+    t = track(spark, sf_dir)
+    models = model_recs(t)
+    fitted = factors.fit_als(t.train, factors.session_numbers(t.train))
+    models["als"] = materialise(factors.fold_in_recs(t.history, factors.factor_frame(fitted.itemFactors, "item_idx"), t.history))
+    model = embeddings.fit_sequences(sequences.session_sequences(t.train_clicks), rounds=20, seed=42)
+    learnt = materialise(embeddings.item_vectors(model).join(t.index, "item_id").select("item_id", "item_idx", "vector"))
+    models["item2vec"] = materialise(retrieval.cosine_recs(pooling.decayed_pool(t.context, learnt, 0.8), learnt, t.history))
+    return evaluate.compare_models(metric_rows(t, models))
+
+
 @query(
     "profile_csv",
     on_clicks(

@@ -386,47 +386,75 @@ def _(spark, sf_dir):
     return _rounded(evaluate.prefix_metrics(recs.join(held, "session_id")))
 
 
-def metric_rows(spark, sf_dir):
-    t = track(spark, sf_dir)
-    knn = materialise(recommend.knn_recs(t.history, recommend.item_similarity(t.train), t.history))
-    popular = materialise(recommend.popularity_recs(t.truth, t.train, t.history))
+MODELS = ("popularity", "knn", "markov")
+
+
+def model_recs(t):
+    """Recommendations of the models whose results SQL can repeat, each written once."""
+    return {
+        "popularity": materialise(recommend.popularity_recs(t.truth, t.train, t.history)),
+        "knn": materialise(recommend.knn_recs(t.history, recommend.item_similarity(t.train), t.history)),
+        "markov": materialise(recommend.markov_recs(t.context, t.train_clicks, t.index)),
+    }
+
+
+def metric_rows(t, models, tracks=("warm", "cold")):
+    """All five metrics of every model, over all sessions and over those with one known click."""
     catalogue = t.index.count()
-    frames = []
-    for name, recs in (("knn", knn), ("popularity", popular)):
-        frames.append(evaluate.long_metrics("warm", name, _rounded(evaluate.rank_metrics(recs, t.truth)).drop("sessions")))
-        frames.append(
-            evaluate.long_metrics(
-                "warm", name, _rounded(evaluate.coverage_novelty(recs, t.train, catalogue)).drop("unique_items")
-            )
-        )
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
+    out = None
+    for track_name in tracks:
+        cold = track_name == "cold"
+        truth = materialise(t.truth.filter("is_cold")) if cold else t.truth
+        for name, recs in models.items():
+            own = recs.join(truth.select("session_id"), "session_id", "left_semi") if cold else recs
+            for row, extra in (
+                (evaluate.rank_metrics(own, truth), "sessions"), (evaluate.coverage_novelty(own, t.train, catalogue), "unique_items")
+            ):
+                part = evaluate.long_metrics(track_name, name, _rounded(row).drop(extra))
+                out = part if out is None else out.unionByName(part)
     return out
 
 
-def _long_sql():
+def _long_sql(models, tracks):
     parts = []
-    for model, recs in (("knn", "knn"), ("popularity", "popular")):
-        for metric in ("mrr", "precision", "recall"):
-            parts.append(f"select 'warm' as track, '{model}' as model, '{metric}' as metric, cast({metric} as double) as value from ({_metrics_sql(recs)})")
-        for metric in ("coverage", "novelty"):
-            parts.append(f"select 'warm', '{model}', '{metric}', {metric} from ({NOVELTY.format(recs)})")
+    for track_name in tracks:
+        cold = track_name == "cold"
+        truth = "(select * from truth where is_cold)" if cold else "truth"
+        for model, name in models.items():
+            recs = f"(select * from {name} where session_id in (select session_id from truth where is_cold))" if cold else name
+            for metric in ("mrr", "precision", "recall"):
+                ranked = _metrics_sql(f"{recs} r").replace("from truth left join", f"from {truth} t left join")
+                parts.append(f"select '{track_name}' as track, '{model}' as model, '{metric}' as metric, cast({metric} as double) as value from ({ranked})")
+            for metric in ("coverage", "novelty"):
+                parts.append(f"select '{track_name}', '{model}', '{metric}', {metric} from ({NOVELTY.format(recs)})")
     return " union all ".join(parts)
 
 
-@query(
-    "model_comparison",
-    on_clicks(
-        f"""select track, model, metric, value, round(value - base, 9) as delta,
+def _compared_sql(models, tracks):
+    return f"""select track, model, metric, value, round(value - base, 9) as delta,
         round(case when base <> 0 then (value - base) / base end, 9) as change, model = best as is_best from (
         select *, max(case when model = 'popularity' then value end) over (partition by track, metric) as base,
-        max_by(model, value) over (partition by track, metric) as best from ({_long_sql()}))""",
-        BOTH_CTE,
-    ),
-)
+        max_by(model, {{'v': value, 'm': model}}) over (partition by track, metric) as best from ({_long_sql(models, tracks)}))"""
+
+
+@query("model_comparison", on_clicks(_compared_sql({"knn": "knn", "popularity": "popular"}, ["warm"]), BOTH_CTE))
+def _(spark, sf_dir):
+    t = track(spark, sf_dir)
+    models = {
+        "knn": materialise(recommend.knn_recs(t.history, recommend.item_similarity(t.train), t.history)),
+        "popularity": materialise(recommend.popularity_recs(t.truth, t.train, t.history)),
+    }
+    return _rounded(evaluate.compare_models(metric_rows(t, models, ["warm"])))
+
+
+ALL_CTE = BOTH_CTE + "," + MARKOV_CTE + "," + _ranked_sql("markov", MARKOV)
+SQL_NAMES = {"popularity": "popular", "knn": "knn", "markov": "markov"}
+
+
+@query("model_comparison_tracks", on_clicks(_compared_sql(SQL_NAMES, ["warm", "cold"]), ALL_CTE))
 def _(spark, sf_dir):
-    return _rounded(evaluate.compare_models(metric_rows(spark, sf_dir)))
+    t = track(spark, sf_dir)
+    return _rounded(evaluate.compare_models(metric_rows(t, model_recs(t))))
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from typing import Any
 
@@ -108,3 +109,50 @@ def preview(df: DataFrame, rows: int = 5) -> DataFrame:
 
 def schema_rows(df: DataFrame) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in df.schema]
+
+
+def described(df: DataFrame, rows: int = 5) -> DataFrame:
+    """One row per column with its type, the number of rows, and its value in the first of the previewed rows."""
+    total = df.agg(F.count(F.lit(1)).alias("rows"))
+    first = preview(df, rows).limit(1)
+    entries = F.array(
+        *[
+            F.struct(F.lit(name).alias("column"), F.lit(kind).alias("kind"), F.col(name).cast("string").alias("first_value"))
+            for name, kind in schema_rows(df)
+        ]
+    )
+    listed = first.select(F.inline(entries))
+    return listed.join(F.broadcast(total)).select("column", "kind", "rows", "first_value")  # one row of totals
+
+
+def write_document(metrics: DataFrame, top_items: DataFrame, params: dict[str, dict[str, float]], path: str) -> None:
+    """One JSON document: metrics by track and model, the top items with their views, and the parameters of the models.
+
+    ``metrics`` has a few rows per model, ``top_items`` (item_id, views) as many as the report shows.
+    """
+    per_track = nested_metrics(metrics).select("track", F.from_json("models", "map<string,string>").alias("models"))
+    typed = F.transform_values("models", lambda _, v: F.from_json(v, "map<string,double>"))
+    sections = per_track.agg(F.map_from_entries(F.collect_list(F.struct("track", typed.alias("models")))).alias("metrics"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("views")).alias("_order"), "item_id", "views"))), lambda s: s.dropFields("_order"))
+    known = F.from_json(F.lit(json.dumps(params)), "map<string,map<string,double>>")
+    document = sections.join(F.broadcast(top_items.agg(listed.alias("top_items")))).withColumn("params", known)  # one row each
+    document.coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_document(spark: SparkSession, path: str) -> DataFrame:
+    """The document as (section, owner, name, value) rows."""
+    schema = (
+        "metrics map<string,map<string,map<string,double>>>, top_items array<struct<item_id:string,views:long>>, params map<string,map<string,double>>"
+    )
+    document = spark.read.schema(schema).json(path)
+    metrics = (
+        document.select(F.explode("metrics").alias("track", "models")).select("track", F.explode("models").alias("model", "values"))
+        .select(F.lit("metrics").alias("section"), F.concat_ws("/", "track", "model").alias("owner"), F.explode("values").alias("name", "value"))
+    )
+    top = document.select(F.posexplode("top_items").alias("at", "i")).select(
+        F.lit("top_items").alias("section"), (F.col("at") + 1).cast("string").alias("owner"), F.col("i.item_id").alias("name"), F.col("i.views").cast("double").alias("value")
+    )
+    params = document.select(F.explode("params").alias("owner", "values")).select(
+        F.lit("params").alias("section"), "owner", F.explode("values").alias("name", "value")
+    )
+    return metrics.union(top).union(params)

@@ -57,3 +57,38 @@ def test_fold_is_the_crc_of_the_id(spark):
 
     rows = frame(spark, ["a"] * 50).select("doc_id", languages.held_out().alias("h")).collect()
     assert all(r["h"] == (crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+
+
+def test_equal_to_a_plain_centroid_search(spark):
+    import math
+
+    rnd = random.Random(7)
+    langs = [rnd.choice(sorted(LETTERS)) for _ in range(120)]
+    docs = frame(spark, [text(x, rnd, 12) for x in langs] + odd_texts(), langs=langs + ["aa"] * len(odd_texts()))
+    model = languages.fit(docs)
+    rows = {r["doc_id"]: r for r in languages.predicted(docs, model).collect()}
+    for r in docs.select("doc_id", "text").collect():
+        counts = languages.gram_counts(r["text"])
+        if counts is None:
+            assert rows[r["doc_id"]]["lang_pred"] == "und"
+            continue
+        vector = [math.sqrt(c) * w for c, w in zip(counts.tolist(), model.idf.tolist())]
+        length = math.sqrt(sum(x * x for x in vector))
+        cosines = [sum(x * c for x, c in zip(vector, centre)) / length for centre in model.centroids.tolist()]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        assert rows[r["doc_id"]]["lang_pred"] == model.languages[best] and abs(rows[r["doc_id"]]["score"] - max(0, cosines[best])) < 1e-9
+
+
+def test_grams_are_those_of_a_plain_count():
+    for value in ("Hello, World!", "é", "a1b", "日本 語"):
+        line, kept = " ", False
+        for ch in value.lower():
+            if ch.isalpha():
+                line += ch
+                kept = True
+            elif line[-1] != " ":
+                line += " "
+        line = line if line.endswith(" ") else line
+        counts = languages.gram_counts(value)
+        grams = sum(len(line + " ") - n for n in range(3)) if kept else 0
+        assert int(counts.sum()) == grams

@@ -102,3 +102,47 @@ def test_long_domains_and_empty_labels(spark):
     mail = out[4][:-1]
     assert out[0].startswith("x u") and out[0].endswith("@example.invalid y") and out[1] == texts[1]
     assert out[2] == mail + "..x.org z" and out[3] == texts[3] and out[5] == mail + ".5" and out[6:] == texts[6:]
+
+
+def plain_feistel(x, y, a, b, tweak, key=KEY):
+    import hashlib
+
+    def number(i, part):
+        return int(hashlib.sha256(f"{key}|{tweak}|{i}|{part}".encode()).hexdigest()[:15], 16)
+
+    for i in range(1, 9):
+        if i % 2:
+            x = (x + number(i, y)) % a
+        else:
+            y = (y + number(i, x)) % b
+    return x, y
+
+
+def plain_digits(digits, tweak):
+    half = len(digits) // 2
+    x, y = plain_feistel(int(digits[:half]), int(digits[half:]), 10**half, 10 ** (len(digits) - half), tweak)
+    return f"{x:0{half}d}{y:0{len(digits) - half}d}"
+
+
+def test_equal_to_a_plain_network(spark):
+    import random
+    from datetime import timedelta
+
+    rnd, texts, want = random.Random(4), [], []
+    for _ in range(60):
+        body = "".join(rnd.choice("0123456789") for _ in range(rnd.randint(12, 18)))
+        texts.append(card(body))
+        want.append(card(plain_digits(body, "card")))
+        address = [rnd.randrange(256) for _ in range(4)]
+        x, y = plain_feistel(address[0] * 256 + address[1], address[2] * 256 + address[3], 65536, 65536, "address")
+        texts.append(".".join(map(str, address)))
+        want.append(f"{x // 256}.{x % 256}.{y // 256}.{y % 256}")
+        n = rnd.randrange(73_000)
+        x, y = plain_feistel(n // 292, n % 292, 250, 292, "day")
+        texts.append(str(date(1900, 1, 1) + timedelta(days=n)))
+        want.append(str(date(1900, 1, 1) + timedelta(days=x * 292 + y)))
+        social = f"{rnd.randrange(1000):03d}-{rnd.randrange(100):02d}-{rnd.randrange(10_000):04d}"
+        new = plain_digits(social.replace("-", ""), "social")
+        texts.append(social)
+        want.append(f"{new[:3]}-{new[3:5]}-{new[5:]}")
+    assert rewritten(spark, texts) == want

@@ -113,7 +113,7 @@ def schema_rows(df: DataFrame) -> list[tuple[str, str]]:
 
 def described(df: DataFrame, rows: int = 5) -> DataFrame:
     """One row per column with its type, the number of rows, and its value in the first of the previewed rows."""
-    total = df.agg(F.count(F.lit(1)).alias("rows"))
+    total = df.count()
     first = preview(df, rows).limit(1)
     entries = F.array(
         *[
@@ -122,7 +122,7 @@ def described(df: DataFrame, rows: int = 5) -> DataFrame:
         ]
     )
     listed = first.select(F.inline(entries))
-    return listed.join(F.broadcast(total)).select("column", "kind", "rows", "first_value")  # one row of totals
+    return listed.select("column", "kind", F.lit(total).cast("long").alias("rows"), "first_value")
 
 
 def write_document(metrics: DataFrame, top_items: DataFrame, params: dict[str, dict[str, float]], path: str) -> None:
@@ -135,7 +135,8 @@ def write_document(metrics: DataFrame, top_items: DataFrame, params: dict[str, d
     sections = per_track.agg(F.map_from_entries(F.collect_list(F.struct("track", typed.alias("models")))).alias("metrics"))
     listed = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("views")).alias("_order"), "item_id", "views"))), lambda s: s.dropFields("_order"))
     known = F.from_json(F.lit(json.dumps(params)), "map<string,map<string,double>>")
-    document = sections.join(F.broadcast(top_items.agg(listed.alias("top_items")))).withColumn("params", known)  # one row each
+    top = top_items.agg(listed.alias("top_items")).withColumn("_one", F.lit(1))
+    document = sections.withColumn("_one", F.lit(1)).join(top, "_one").drop("_one").withColumn("params", known)
     document.coalesce(1).write.mode("overwrite").json(path)
 
 

@@ -8,7 +8,7 @@ from trailmill import schema as S
 from trailmill.functions import scalars
 from trailmill.functions.aggregates import code_count
 from trailmill.operators import explore, profile, quality, sessions
-from trailmill.plans.registry import mean_sql, on_baskets, on_clicks, query
+from trailmill.plans.registry import SQL, mean_sql, on_baskets, on_clicks, query
 from trailmill.scale import materialise
 from trailmill.sources import io
 from trailmill.sources.tables import baskets, click_facts, clicks, table
@@ -713,6 +713,10 @@ def _(spark, sf_dir):
     return out.withColumns({c: F.round(c, 6) for c in ("price_std", "p05", "q1", "median_price", "q3", "p95")})
 
 
+#: The select of the profile by location, for profiles by another key.
+GROUP_PROFILE = SQL["group_profile"][len(on_clicks("")) :]
+
+
 @query(
     "group_modes",
     on_clicks(

@@ -7,9 +7,10 @@ from functools import cached_property
 from pyspark.sql import functions as F
 
 from trailmill.operators import evaluate, graph, profile, recommend, splits
+from trailmill.plans.explore_queries import GROUP_PROFILE
 from trailmill.plans.registry import on_clicks, query
 from trailmill.plans.sequence_queries import CUTOFF, MOVES_CTE, SPLIT_CTE
-from trailmill.scale import materialise
+from trailmill.scale import bounded_side, materialise
 from trailmill.sources.tables import click_facts, clicks
 
 EDGES_CTE = """
@@ -149,6 +150,46 @@ def _(spark, sf_dir):
     return profile.group_modes(labelled, "label", ["colour", "category", "location"])
 
 
+LABELLED_CTE = _label_cte(10) + ", labelled as (select clicks.*, label from clicks join l10 on item_no = id)"
+
+
+def labelled_clicks(spark, sf_dir):
+    """Clicks with the community of their item."""
+    members = label_prop_10(spark, sf_dir).withColumnRenamed("id", "item_no")
+    return clicks(spark, sf_dir).join(bounded_side(members), "item_no")
+
+
+@query(
+    "community_full_profile",
+    on_clicks(GROUP_PROFILE.replace("location", "label").replace("from clicks", "from labelled"), LABELLED_CTE),
+)
+def _(spark, sf_dir):
+    out = profile.group_profile(labelled_clicks(spark, sf_dir), "label")
+    return out.withColumns({c: F.round(c, 6) for c in ("price_std", "p05", "q1", "median_price", "q3", "p95")})
+
+
+@query(
+    "community_pair_counts",
+    on_clicks("select label, colour, photo_type, count(*) as clicks from labelled group by all", LABELLED_CTE),
+)
+def _(spark, sf_dir):
+    return profile.pair_counts(labelled_clicks(spark, sf_dir), ["label", "colour", "photo_type"])
+
+
+@query(
+    "community_sample",
+    on_clicks(
+        """select label, session_id, click_order, pick from (select *, cast(row_number() over (partition by label
+        order by md5(concat('42:', session_id, ':', click_order)), session_id, click_order) as int) as pick from labelled)
+        where pick <= 5""",
+        LABELLED_CTE,
+    ),
+)
+def _(spark, sf_dir):
+    drawn = profile.sample_per_group(labelled_clicks(spark, sf_dir), "label", ["session_id", "click_order"], 5, seed=42)
+    return drawn.select("label", "session_id", "click_order", "pick")
+
+
 @query("power_iteration")
 def _(spark, sf_dir):
     return graph.power_iteration(pruned(spark, sf_dir)[1], k=10, rounds=50)

@@ -388,3 +388,12 @@ def test_bitmap_and_listed_pairs_agree(spark, monkeypatch, min_pairs):
     every = rules.pair_rules(clicks, "item_id", "region")
     assert sorted(map(tuple, rules.rule_between(every, "C", "B").collect())) == sorted(map(tuple, rules.rule_of_two(clicks, "item_id", "region", "C", "B").collect()))
     assert sorted(map(tuple, rules.rules_of(every, "region", "g1").collect())) == sorted(map(tuple, rules.rules_within(clicks, "item_id", "region", "g1").collect()))
+
+
+def test_items_may_be_names(spark):
+    clicks = materialise(random_path(spark, 8).withColumn("name", F.concat(F.lit("K"), F.col("item_idx").cast("string"))))
+    vectors = spark.createDataFrame(unit_rows(35, 4, 1), "item_idx int, vector array<double>")
+    named = vectors.withColumn("name", F.concat(F.lit("K"), F.col("item_idx").cast("string")))
+    rounded = lambda df: sorted(str((r[0], [round(x, 9) for x in r["vector"]])) for r in df.collect())
+    for pool in (pooling.decayed_pool, pooling.last_prefix_pool, pooling.prefix_pool):
+        assert rounded(pool(clicks, named, 0.3, "name")) == rounded(pool(clicks, vectors, 0.3, "item_idx"))

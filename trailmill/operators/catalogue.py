@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Most bytes of vectors that are sent to every task.
 SENT_BYTES = 64 << 20
@@ -66,7 +67,9 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 
 def sent(items: DataFrame, item: str = "item_idx", limit: int | None = None) -> Broadcast | None:
-    """The catalogue as a broadcast value if its vectors take no more than ``limit`` bytes, else None."""
+    """The catalogue as a broadcast value if its vectors take no more than ``limit`` bytes and items are numbers, else None."""
+    if not isinstance(items.schema[item].dataType, T.IntegralType):
+        return None
     rows = items.filter(F.col(item).isNotNull() & F.col("vector").isNotNull()).select(
         F.col(item).cast("long").alias("id"), F.col("vector").cast("array<double>").alias("vector")
     )

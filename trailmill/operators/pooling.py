@@ -134,10 +134,11 @@ def prefix_pool(
         marked = marked.join(bounded_side(vectors.select(item, F.col("vector").cast("array<double>").alias("vector"))), item, "left")
     else:
         marked = marked.withColumn("vector", F.lit(None).cast("array<double>"))
+    number = F.lit(None) if known is None else F.col(item)
     scanned, last = watched(
         marked.withColumn("_span", span_of(ORDER, span))
         .withColumn("_mass", F.when(F.col("vector").isNotNull(), 1.0))
-        .select(SESSION, "_span", ORDER, "next", "_first", "_mass", F.col(item).cast("long").alias("_item"), "vector"),
+        .select(SESSION, "_span", ORDER, "next", "_first", "_mass", number.cast("long").alias("_item"), "vector"),
         F.max("_span"),
     )
     types = dict(scanned.dtypes)

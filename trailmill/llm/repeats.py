@@ -1,25 +1,30 @@
-"""Repeated byte strings across documents, by suffix sorting around shared anchors.
+"""Repeated byte strings across documents, from the common-prefix interval trees of suffixes at shared anchors.
 
 A string of ``length`` bytes that starts at two places holds the same anchors at both: of each window of
 ``length`` bytes the ``gram``-byte strings with the smallest hash. Only anchors whose hash occurs twice are looked at.
 Around each stands its context, the bytes that a repeated string through it can reach.
 
-The contexts of one anchor string form a sparse suffix array: sorted by what follows, with the common prefix lengths
-of neighbours. Its intervals with a common prefix of r bytes are split by what stands before: occurrences whose left
-extension of ``length - r`` bytes is the same repeat each other, those where it differs do not. Walking all depths r gives
-every occurrence its longest and its shortest reach to the left inside a repeated string, and these
-two bound all bytes that such strings cover there, since they overlap.
+The contexts of one anchor string form an enhanced suffix array: sorted by what follows, with the common prefix lengths
+of neighbours. A scan with a stack lists the intervals of its common-prefix tree: all occurrences, not only neighbours,
+that agree in r bytes from the anchor on. Inside an interval the occurrences are ordered by what stands before them, and a
+second scan finds those that agree in the l bytes before the anchor. Where l + r reaches ``length``, extensions on both
+sides differ (or text or context ends) and the occurrences make up one maximal repeat group, ``repeat_groups``. The bytes to
+remove at an occurrence reach from its longest l to its longest r, since all its repeats hold the anchor.
 
-Contexts that occur whole more than once repeat in all their strings and go on as one row with their number, so groups of
+Contexts that occur whole more than once are one group at once and go on as one row with their number, so groups of
 near copies shrink to their distinct contexts before any are gathered.
 
-Anchors with more distinct contexts than ``GROUP`` are not gathered: the range of reaches is halved, and each half keyed by the longer
-string that all its members must share. Contexts that agree in every byte such a half can touch repeat there in all their
+Anchors with more distinct contexts than ``GROUP`` are not gathered: the range of reaches to the left is halved, and each half keyed by
+the longer string that all its members must share. Contexts that agree in every byte such a half can touch repeat there in all their
 strings and go on as one; those that then stand alone drop out. Halving goes on until groups are small, at the
 latest when a half is one reach and its key the whole repeated string.
 
-Defined cases: a null text is empty; texts below ``length`` bytes are never cut; equal texts are read once and count by
-their number; null ids and repeated rows are rows like any other; other columns are not read.
+Rows meet the numbers of their anchor in a shuffle, but for keys with more than 1 / ``HOT`` of all rows, fewer than ``HOT``,
+whose numbers are sent. Texts always move in a shuffle, by text and row, at every size of the input.
+
+Defined cases: a null text is empty; texts below ``length`` bytes are never cut; texts of any length are read whole; equal texts are
+read once and count by their number; null ids and repeated rows are rows like any other; an empty table gives an empty
+result; ties in the order of suffixes do not matter, as equal sides fall into one interval; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +46,8 @@ GRAM = 100
 #: Most contexts of one anchor in a task: 7 MB of bytes, no more than a task holds of small groups.
 GROUP = 10_000
 BATCH = 20_000
-#: Most positions of a join side that is sent to all tasks: 12 bytes each.
-SENT_POSITIONS = 2_000_000
+#: Keys with more than this part of all rows are joined without a shuffle.
+HOT = 1000
 #: Most rows with keys that are sent to all tasks: 56 bytes each.
 SENT_ROWS = 300_000
 BYTE_CODES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -136,57 +142,125 @@ def context_rows(rows: DataFrame, length: int, gram: int) -> DataFrame:
     return rows.select("tid", "data", "places", "keys", "counts", "weights").mapInArrow(run, schema)
 
 
-def classes(sort_keys: np.ndarray, group: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix order of ``rows`` inside each group, and the common prefix length with the row before."""
-    order = np.lexsort((sort_keys, group))
-    ordered, own = rows[order], group[order]
+def enhanced(sides: np.ndarray, lengths: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the padded ``sides`` inside each group, and the common prefix length with the row before (-1 between groups).
+
+    A side that ends comes before those that go on, so a common prefix is the least one between two rows.
+    """
+    order = np.lexsort((lengths, sides.view(f"S{sides.shape[1]}").ravel(), group))
+    ordered, own, ends = sides[order], group[order], lengths[order]
     differ = ordered[1:] != ordered[:-1]
-    common = np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
+    common = np.where(differ.any(axis=1), differ.argmax(axis=1), sides.shape[1])
+    common = np.minimum(common, np.minimum(ends[1:], ends[:-1]))
     common[own[1:] != own[:-1]] = -1
     return order, np.concatenate([[-1], common])
 
 
-def reaches(group, low, high, copies, left, right, contexts, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per row the shortest and longest left reach of a repeated string, -1 where none is.
+def intervals(common: list[int], floor: int) -> Iterator[tuple[int, int, int]]:
+    """Begin, end and common prefix of every interval of two or more rows that share at least ``floor`` bytes, inner ones first."""
+    stack: list[tuple[int, int]] = []
+    for i in range(1, len(common) + 1):
+        here = common[i] if i < len(common) else -1
+        begin = i - 1
+        while stack and stack[-1][0] > here:
+            depth, begin = stack.pop()
+            yield begin, i, depth
+        if here >= floor and (not stack or stack[-1][0] < here):
+            stack.append((here, begin))
+
+
+class Tree:
+    """The interval tree of the contexts of some anchors, with the order of their left sides.
 
-    The intervals of the suffix array at every depth are numbered by the places where the common prefix is
-    shorter; the same is done for the reversed left sides, and rows that share both numbers repeat each other.
+    The left side of a row may count up to ``left`` bytes and the right side up to ``right``.
+    """
+
+    def __init__(self, group, left, right, contexts, length: int, gram: int):
+        reach, count = length - gram, len(group)
+        table = np.frombuffer(b"".join(contexts), np.uint8).reshape(count, reach + length)
+        self.length, self.floor = length, gram
+        after = np.ascontiguousarray(table[:, reach:])
+        before = np.ascontiguousarray(table[:, :reach][:, ::-1])
+        self.order, self.common = enhanced(after, right, group)
+        order, common = enhanced(before, left, group)
+        self.rank = np.empty(count, np.int64)
+        self.rank[order] = np.arange(count)
+        self.least = [common]
+        while len(self.least[-1]) > 1 << len(self.least) - 1:
+            row, step = self.least[-1], 1 << len(self.least) - 1
+            self.least.append(np.minimum(row[:-step], row[step:]))
+
+    def shared_left(self, ranks: np.ndarray) -> np.ndarray:
+        """Common left extension of neighbours in ascending ``ranks``: the least one between them."""
+        out = np.empty(len(ranks) - 1, np.int64)
+        first, last = ranks[:-1] + 1, ranks[1:]
+        level = np.frexp((last - first + 1).astype(float))[1] - 1
+        for k in set(level.tolist()):
+            at = level == k
+            out[at] = np.minimum(self.least[k][first[at]], self.least[k][last[at] + 1 - (1 << k)])
+        return out
+
+    def nodes(self) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
+        """Begin, end, right extension, members by left side, left extensions of neighbours, of every interval."""
+        for begin, end, depth in intervals(self.common.tolist(), self.floor):
+            members = self.order[begin:end]
+            members = members[np.argsort(self.rank[members])]
+            yield begin, end, depth, members, self.shared_left(self.rank[members])
+
+    def groups(self) -> Iterator[tuple[np.ndarray, int, int]]:
+        """Members, left and right extension of every maximal repeat group.
+
+        A group inside one child of its interval goes on to the right and is listed there.
+        """
+        place = np.empty(len(self.order), np.int64)
+        place[self.order] = np.arange(len(self.order))
+        for begin, end, depth, members, shared in self.nodes():
+            child = np.cumsum(np.concatenate([[0], self.common[begin + 1 : end] == depth]))[place[members] - begin]
+            for first, last, left in intervals([-1, *shared.tolist()], self.length - depth):
+                if (child[first:last] != child[first]).any():
+                    yield members[first:last], left, depth
+
+    def reaches(self) -> tuple[np.ndarray, np.ndarray]:
+        """Per row the longest left and right extension of its repeats, -1 where it has none."""
+        longest_left, longest_right = (np.full(len(self.order), -1) for _ in range(2))
+        for _, _, depth, members, shared in self.nodes():
+            own = np.maximum(np.concatenate([[-1], shared]), np.concatenate([shared, [-1]]))
+            hit = own >= self.length - depth
+            rows = members[hit]
+            longest_left[rows] = np.maximum(longest_left[rows], own[hit])
+            longest_right[rows] = np.maximum(longest_right[rows], depth)
+        return longest_left, longest_right
+
+
+def span_rows(length: int, gram: int, grouped: bool):
+    """Spans repeat, tid, begin, end of rows sorted by key, whole keys at a time.
+
+    ``grouped``: one span per maximal repeat group and occurrence, ``repeat`` being the hash of its bytes; else one
+    per occurrence, with a null ``repeat``.
     """
-    reach, count = length - gram, len(group)
-    table = np.frombuffer(b"".join(contexts), np.uint8).reshape(count, reach + length)
-    after = np.ascontiguousarray(table[:, reach:])
-    before = np.ascontiguousarray(table[:, :reach][:, ::-1])
-    order_r, common_r = classes(after.view(f"S{length}").ravel(), group, after)
-    order_l, common_l = classes(before.view(f"S{reach}").ravel(), group, before)
-    shortest, longest = np.full(count, -1), np.full(count, -1)
-    side_r, side_l = np.empty(count, np.int64), np.empty(count, np.int64)
-    for d in range(int(low.min()), int(high.max()) + 1):
-        valid = np.flatnonzero((low <= d) & (d <= high) & (left >= d) & (right >= length - d))
-        if not len(valid):
-            continue
-        side_r[order_r] = np.cumsum(common_r < length - d)
-        side_l[order_l] = np.cumsum(common_l < d)
-        _, place = np.unique(side_r[valid] * (count + 1) + side_l[valid], return_inverse=True)
-        hit = valid[np.bincount(place, weights=copies[valid])[place] > 1]
-        longest[hit] = d
-        fresh = hit[shortest[hit] < 0]
-        shortest[fresh] = d
-    return shortest, longest
-
-
-def span_rows(length: int, gram: int):
-    """Spans tid, begin, end of rows sorted by key, whole keys at a time."""
     names = ("key", "low", "high", "copies", "left", "right", "context", "tid", "place")
+    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64())
 
     def spans(held: dict[str, list]) -> pa.RecordBatch:
         _, group = np.unique(np.array(held["key"], np.int64), return_inverse=True)
-        low, high, copies, left, right = (np.array(held[c], np.int64) for c in names[1:6])
-        shortest, longest = reaches(group, low, high, copies, left, right, held["context"], length, gram)
-        hit = np.flatnonzero(longest >= 0)
-        place = np.array(held["place"], np.int64)[hit]
-        tids = [held["tid"][i] for i in hit]
-        ends = (place - longest[hit], place - shortest[hit] + length)
-        return pa.RecordBatch.from_arrays([pa.array(tids, pa.binary()), *(pa.array(e, pa.int64()) for e in ends)], ["tid", "begin", "end"])
+        low, high, copies, left, right, place = (np.array(held[c], np.int64) for c in (*names[1:6], "place"))
+        left, right = np.minimum(left, high), np.minimum(right, length - low)
+        tree = Tree(group, left, right, held["context"], length, gram)
+        out: tuple[list, ...] = ([], [], [], [])
+        if grouped:
+            for members, before, after in tree.groups():
+                string = held["context"][members[0]][length - gram - before : length - gram + after]
+                repeat = np.uint64(xxhash.xxh64_intdigest(string, seed=42)).astype(np.int64).item()
+                for i in members.tolist():
+                    for column, value in zip(out, (repeat, held["tid"][i], place[i] - before, place[i] + after), strict=True):
+                        column.append(value)
+        else:
+            before, after = tree.reaches()
+            whole = (copies > 1) & (left + right >= length)
+            before, after = np.where(whole, left, before), np.where(whole, right, after)
+            hit = np.flatnonzero(before >= 0)
+            out = ([None] * len(hit), [held["tid"][i] for i in hit], (place - before)[hit], (place + after)[hit])
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], ["repeat", "tid", "begin", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {c: [] for c in names}
@@ -205,10 +279,23 @@ def span_rows(length: int, gram: int):
     return run
 
 
-def small_spans(rows: DataFrame, length: int, gram: int) -> DataFrame:
+def small_spans(rows: DataFrame, length: int, gram: int, grouped: bool) -> DataFrame:
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     given = rows.select("key", "low", "high", "copies", "left", "right", "context", "tid", "place")
-    return given.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(span_rows(length, gram), "tid binary, begin long, end long")
+    run = span_rows(length, gram, grouped)
+    return given.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "repeat long, tid binary, begin long, end long")
+
+
+def beside(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``rows`` with the ``n`` of their key; ``sizes`` is a stored table of key columns and the number n of their rows.
+
+    Keys with more than 1 / HOT of all rows are fewer than HOT, so theirs are sent and their rows stay where they are.
+    """
+    on = [c for c in sizes.columns if c != "n"]
+    total = sizes.agg(F.sum("n").alias("n")).first()["n"] or 0
+    hot = F.broadcast(sizes.where(F.col("n") * HOT > total))
+    rest = sizes.where(F.col("n") * HOT <= total).hint("merge")
+    return rows.join(hot, on).union(rows.join(hot, on, "left_anti").join(rest, on))
 
 
 def halved(rows: DataFrame, length: int, gram: int) -> DataFrame:
@@ -230,38 +317,41 @@ def halved(rows: DataFrame, length: int, gram: int) -> DataFrame:
         }
     )
     touched = F.substring("context", reach - F.col("most") + 1, length + F.col("most") - F.col("least"))
-    return bounded.withColumn("code", F.xxhash64("least", "most", touched))
+    return bounded.withColumns({"code": F.xxhash64("least", "most", touched), "repeat": F.xxhash64(touched)})
 
 
-def all_spans(contexts: DataFrame, length: int, gram: int, group: int) -> DataFrame:
-    """tid, begin, end of all repeated strings, some overlapping."""
+def all_spans(contexts: DataFrame, length: int, gram: int, group: int, grouped: bool) -> DataFrame:
+    """repeat, tid, begin, end of all repeated strings, some overlapping."""
     rows = contexts.withColumn("low", F.lit(0)).withColumn("high", F.lit(length - gram))
-    found = small_spans(rows.where(F.col("n") <= group), length, gram)
+    found = small_spans(rows.where(F.col("n") <= group), length, gram, grouped)
     large = rows.where(F.col("n") > group)
     while not large.isEmpty():
         split = halved(large, length, gram)
-        marks = stored(split.select("key", "code", "tid", "place", "copies", "least", "most"), "halves")
+        marks = stored(split.select("key", "code", "repeat", "tid", "place", "copies", "least", "most"), "halves")
         kinds = stored(
             marks.groupBy("key", "code").agg(F.min(F.struct("tid", "place")).alias("rep"), F.sum("copies").alias("copies")), "kinds"
         )
         # rows equal in all that their half can reach repeat there in every string; one of them stands for all from here on
-        alike = marks.where("copies = 1").join(kinds.where("copies > 1").select("key", "code"), ["key", "code"])
+        alike = marks.where(F.lit(True) if grouped else F.col("copies") == 1)
+        alike = beside(alike, kinds.where("copies > 1").select("key", "code", F.col("copies").alias("n")))
         begin, end = F.col("place") - F.col("most"), F.col("place") - F.col("least") + length
-        whole = alike.select("tid", begin.cast("long").alias("begin"), end.cast("long").alias("end"))
-        sizes = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        whole = alike.select("repeat", "tid", begin.cast("long").alias("begin"), end.cast("long").alias("end"))
+        sizes = stored(kinds.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
         kept = stored(
-            kinds.join(sizes, "key").select("key", "code", "n", "copies", F.col("rep.tid").alias("tid"), F.col("rep.place").alias("place")), "open"
+            beside(kinds, sizes).select("key", "code", "n", "copies", F.col("rep.tid").alias("tid"), F.col("rep.place").alias("place")), "open"
         )
         sent = hinted(kept, kept.count() <= SENT_ROWS)
-        rest = split.drop("copies", "least", "most").join(sent, ["key", "code", "tid", "place"]).drop("code")
+        rest = split.drop("copies", "least", "most", "repeat").join(sent, ["key", "code", "tid", "place"]).drop("code")
         rest = stored(rest, "contexts")
-        found = found.union(whole).union(small_spans(rest.where(F.col("n") <= group), length, gram))
+        found = found.union(whole).union(small_spans(rest.where(F.col("n") <= group), length, gram, grouped))
         large = rest.where(F.col("n") > group)
     return found
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
-    """tid (MD5 of a text) and its spans begin, end that repeated strings of ``length`` bytes cover."""
+def repeated_spans(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP, grouped: bool = False
+) -> DataFrame:
+    """repeat, tid (MD5 of a text) and the spans begin, end that repeated strings of ``length`` bytes cover."""
     texts = docs.select(text_id(), row_key(), data_bytes()).where(F.octet_length("data") >= length)
     marked = anchor_rows(texts, length, gram)
     known = stored(
@@ -274,50 +364,55 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
         "tid", "row", "copies", F.col("_a.places").alias("place"), F.col("_a.hashes").alias("key")
     )
     counts = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("_all")).where("_all > 1").drop("_all")
-    shared = entries.join(counts, "key").groupBy("tid").agg(
-        F.first("row").alias("_rep"), F.first("copies").alias("copies"), F.sort_array(F.collect_list(F.struct("place", "key", "n"))).alias("_a")
+    shared = beside(entries, stored(counts, "counts")).groupBy("tid").agg(
+        F.first("row").alias("row"), F.first("copies").alias("copies"), F.sort_array(F.collect_list(F.struct("place", "key", "n"))).alias("_a")
     )
     shared = stored(
         shared.select(
-            "tid", "_rep", F.col("_a.place").alias("places"), F.col("_a.key").alias("keys"), F.col("_a.n").alias("counts"),
+            "tid", "row", F.col("_a.place").alias("places"), F.col("_a.key").alias("keys"), F.col("_a.n").alias("counts"),
             F.transform("_a", lambda _: F.col("copies")).alias("weights"),
         ),
         "shared",
     )
     contexts = context_rows(texts_of(texts, shared), length, gram)
-    marks = stored(
-        contexts.select("key", "tid", "place", "copies", "left", "right", F.xxhash64("context").alias("code")), "contexts"
-    )
+    bare = F.substring("context", F.lit(length - gram + 1) - F.col("left"), F.col("left") + F.col("right"))
+    marks = stored(contexts.select("key", "tid", "place", "copies", "left", "right", F.xxhash64(bare).alias("code")), "contexts")
     same = ("key", "code", "left", "right")
     kinds = stored(
         marks.groupBy(*same).agg(F.min(F.struct("tid", "place")).alias("rep"), F.sum("copies").alias("copies")), "kinds"
     )
-    whole = whole_contexts(marks, kinds.where("copies > 1").select(*same), length, gram)
-    sizes = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    left = kinds.join(sizes, "key").select("key", "n", "copies", F.col("rep.tid").alias("tid"), F.col("rep.place").alias("place"))
+    whole = whole_contexts(marks, kinds.where("copies > 1").select(*same, F.col("copies").alias("n")), length)
+    sizes = stored(kinds.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
+    left = beside(kinds, sizes).select("key", "n", "copies", F.col("rep.tid").alias("tid"), F.col("rep.place").alias("place"))
     packed = left.groupBy("tid").agg(F.sort_array(F.collect_list(F.struct("place", "key", "n", "copies"))).alias("_a"))
     names = (("place", "places"), ("key", "keys"), ("n", "counts"), ("copies", "weights"))
-    packed = packed.join(shared.select("tid", "_rep"), "tid").select(
-        "tid", "_rep", *(F.col(f"_a.{x}").alias(y) for x, y in names)
-    )
+    packed = packed.join(shared.select("tid", "row"), "tid").select("tid", "row", *(F.col(f"_a.{x}").alias(y) for x, y in names))
     distinct = stored(context_rows(texts_of(texts, stored(packed, "open")), length, gram), "distinct")
-    return whole.union(all_spans(distinct, length, gram, group))
+    return whole.union(all_spans(distinct, length, gram, group, grouped))
+
+
+def repeat_groups(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+    """repeat, n_bytes, tid, begin: every maximal repeat group of ``length`` bytes or more with its occurrences.
+
+    ``repeat`` is the hash of the repeated bytes and ``tid`` the MD5 of a text that holds them from byte ``begin`` on. Repeats are followed
+    to the ends of an anchor's context, so longer ones come as overlapping pieces. Places equal in all that their context
+    or half can reach are a group of their own, and one of them stands for all in the groups of shorter strings. A text that
+    stands more than once is listed once.
+    """
+    spans = repeated_spans(docs, length, gram, group, grouped=True)
+    return spans.select("repeat", (F.col("end") - F.col("begin")).alias("n_bytes"), "tid", "begin").distinct()
 
 
 def texts_of(texts: DataFrame, places: DataFrame) -> DataFrame:
-    """One text per tid of ``places`` with its columns."""
-    positions = places.agg(F.sum(F.size("places")).alias("n")).first()["n"] or 0
-    rows = texts.join(hinted(places, positions <= SENT_POSITIONS), "tid")
-    return rows.where(F.col("row") == F.col("_rep"))
+    """One text per tid of ``places`` with its columns; equal texts in other rows are not looked up."""
+    return texts.join(places.hint("merge"), ["tid", "row"])
 
 
-def whole_contexts(marks: DataFrame, kinds: DataFrame, length: int, gram: int) -> DataFrame:
+def whole_contexts(marks: DataFrame, kinds: DataFrame, length: int) -> DataFrame:
     """Spans of contexts that occur whole a second time: all strings through the anchor repeat there."""
-    both = marks.join(kinds, ["key", "code", "left", "right"])
-    low = F.greatest(F.lit(0), length - F.col("right"))
-    high = F.least(F.lit(length - gram), F.col("left"))
-    begin, end = F.col("place") - high, F.col("place") - low + length
-    return both.where(low <= high).select("tid", begin.cast("long").alias("begin"), end.cast("long").alias("end"))
+    both = beside(marks, kinds).where(F.col("left") + F.col("right") >= length)
+    begin, end = F.col("place") - F.col("left"), F.col("place") + F.col("right")
+    return both.select(F.col("code").alias("repeat"), "tid", begin.cast("long").alias("begin"), end.cast("long").alias("end"))
 
 
 def text_id() -> Column:
@@ -349,8 +444,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, gro
     per_text = stored(
         spans.groupBy("tid").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans")), "spans"
     )
-    total = per_text.agg(F.sum(F.size("spans")).alias("n")).first()["n"] or 0
-    rows = docs.select("doc_id", text_id(), data_bytes()).join(hinted(per_text, total <= SENT_POSITIONS), "tid", "left")
+    rows = docs.select("doc_id", text_id(), data_bytes()).join(per_text.hint("merge"), "tid", "left")
 
     def cut(column: pa.Array) -> list:
         out: list[list] = [[], [], [], []]

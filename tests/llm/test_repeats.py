@@ -14,12 +14,12 @@ from trailmill.llm import repeats
 
 def brute(texts, length):
     data = [(t or "").encode() for t in texts]
-    seen = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
+    seen = Counter(hash(d[i : i + length]) for d in data for i in range(len(d) - length + 1))
     out = []
     for d in data:
         gone = bytearray(len(d))
         for i in range(len(d) - length + 1):
-            if seen[d[i : i + length]] > 1:
+            if seen[hash(d[i : i + length])] > 1:
                 gone[i : i + length] = b"\x01" * length
         spans = sum(1 for i, g in enumerate(gone) if g and not (i and gone[i - 1]))
         out.append((len(d), sum(gone), spans, bytes(b for b, g in zip(d, gone) if not g)))
@@ -48,7 +48,7 @@ def test_equal_to_brute_force(spark, group):
 def test_default_lengths(spark):
     passage = prose(120, 1)
     texts = [prose(200, 2) + passage + prose(100, 3), prose(90, 4) + passage, passage[:399], passage[:400], prose(200, 5), prose(200, 5), passage + "|" + passage]
-    texts += [t for t in odd_texts() if len(t or "") < 50_000]
+    texts += odd_texts()
     assert cut(spark, texts) == brute(texts, 400)
 
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from trailmill.functions.arrays import unit
-from trailmill.operators import catalogue, features, topics
+from trailmill.operators import catalogue, clusters, features, topics
 from trailmill.scale import materialise
 
 
@@ -86,3 +88,18 @@ def test_sweep_infers_the_topics_of_a_session_once(spark, clicks_of, monkeypatch
     monkeypatch.setattr(type(model), "logPerplexity", lambda *_: pytest.fail("inferred twice"))
     (row,) = topics.lda_sweep(bags, [2], rounds=3).collect()
     assert row.k == 2 and row.log_perplexity == pytest.approx(expected, rel=1e-9)
+
+
+def test_sweep_leaves_keeping_of_points_to_the_models(spark):
+    kept = []
+
+    class Watched(KMeans):
+        def fit(self, dataset, params=None):
+            kept.append(dataset.storageLevel.useMemory)
+            return super().fit(dataset, params)
+
+    rows = spark.createDataFrame([([0.0, 0.1 * i],) for i in range(9)] + [([9.0, 0.1 * i],) for i in range(9)], "v array<double>")
+    points = rows.select(array_to_vector("v").alias("features"))
+    found = clusters.k_sweep({"kmeans": Watched(maxIter=5)}, points, (2, 3)).collect()
+    assert kept == [False, False]
+    assert [r["k"] for r in found] == [2, 3] and found[0]["silhouette"] > found[1]["silhouette"]

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from trailmill.functions.arrays import unit
 from trailmill.operators import catalogue, clusters, features, topics
 from trailmill.scale import materialise
+from trailmill.sources import tables
 
 
 def unit_rows(rows, seed, width=16):
@@ -103,3 +104,15 @@ def test_sweep_leaves_keeping_of_points_to_the_models(spark):
     found = clusters.k_sweep({"kmeans": Watched(maxIter=5)}, points, (2, 3)).collect()
     assert kept == [False, False]
     assert [r["k"] for r in found] == [2, 3] and found[0]["silhouette"] > found[1]["silhouette"]
+
+
+def test_large_lookups_are_not_sorted(spark, monkeypatch):
+    rows = spark.range(60).selectExpr("id % 7 as k", "id")
+    side = spark.createDataFrame([(k, f"n{k}") for k in (0, 1, 1, 5, None)], "k long, name string")
+    found = {}
+    for limit, kind in ((5, "BroadcastHashJoin"), (4, "ShuffledHashJoin")):
+        monkeypatch.setattr(tables, "BROADCAST_ROWS", limit)
+        joined = rows.join(tables.looked_up(side), "k")
+        assert kind in joined._jdf.queryExecution().executedPlan().toString()
+        found[limit] = sorted(map(tuple, joined.collect()))
+    assert found[4] == found[5] == sorted((r.k, r.id, n) for r in rows.collect() for k, n in ((0, "n0"), (1, "n1"), (1, "n1"), (5, "n5")) if r.k == k)

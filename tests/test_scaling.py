@@ -10,7 +10,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from trailmill.functions.arrays import unit
-from trailmill.operators import catalogue, clusters, features, topics
+from trailmill.operators import catalogue, clusters, explore, features, topics
 from trailmill.scale import materialise
 from trailmill.sources import tables
 
@@ -116,3 +116,10 @@ def test_large_lookups_are_not_sorted(spark, monkeypatch):
         assert kind in joined._jdf.queryExecution().executedPlan().toString()
         found[limit] = sorted(map(tuple, joined.collect()))
     assert found[4] == found[5] == sorted((r.k, r.id, n) for r in rows.collect() for k, n in ((0, "n0"), (1, "n1"), (1, "n1"), (5, "n5")) if r.k == k)
+
+
+def test_summary_tells_sessions_apart_for_regions_only(spark):
+    rows = [(1, "R", "a", "x"), (1, "R", "b", "x"), (1, "R", "a", "y"), (2, "S", "b", "x"), (3, "S", None, "y"), (None, "S", "a", "y")]
+    row = explore.summary_row(spark.createDataFrame(rows, "session_id long, region string, category string, colour string"))
+    assert tuple(row.first()) == (6, "S", 2, "a", 3, "x", 3)
+    assert "(dimension" in (plan := row._jdf.queryExecution().optimizedPlan().toString()) and "= region) THEN session_id" in plan

@@ -197,7 +197,8 @@ def summary_row(clicks: DataFrame) -> DataFrame:
     """Totals with the leading region (by sessions), category and colour (by clicks).
 
     One long scan feeds all three rankings: every click yields a (dimension, value)
-    pair, and the winner of each dimension is picked on the counted values.
+    pair, and the winner of each dimension is picked on the counted values. Sessions are told apart for
+    regions only, which are ranked by them.
     """
     dims = F.array(
         *[
@@ -208,7 +209,10 @@ def summary_row(clicks: DataFrame) -> DataFrame:
     counted = (
         clicks.select(SESSION, F.inline(dims))
         .groupBy("dimension", "value")
-        .agg(F.count(F.lit(1)).alias("clicks"), F.count_distinct(SESSION).alias("sessions"))
+        .agg(
+            F.count(F.lit(1)).alias("clicks"),
+            F.count_distinct(F.when(F.col("dimension") == "region", F.col(SESSION))).alias("sessions"),
+        )
     )
     measure = F.when(F.col("dimension") == "region", F.col("sessions")).otherwise(F.col("clicks"))
     best = counted.withColumn("measure", measure).groupBy("dimension").agg(

@@ -294,6 +294,30 @@ def test_a_catalogue_too_large_to_send_gives_the_same(spark, monkeypatch, name):
     assert len(sent) > 20 and sorted(map(str, run().collect())) == sent
 
 
+def test_a_catalogue_in_parts_copies_no_queries(spark, monkeypatch):
+    queries = spark.createDataFrame(unit_rows(30, 6, 2), "session_id long, vector array<double>")
+    seen = materialise(random_path(spark))
+    known = unit_rows(35, 6, 1)
+    once, twice = (spark.createDataFrame(rows, "item_idx int, vector array<double>") for rows in (known, [*known, *known[:4]]))
+    sent = sorted(map(str, retrieval.cosine_recs(queries, once, seen, 4).collect()))
+    monkeypatch.setattr(catalogue, "SENT_BYTES", 900)
+    monkeypatch.setattr(retrieval, "ITEMS_PER_BLOCK", 9)
+    repeated = sorted(map(str, retrieval.cosine_recs(queries, twice, seen, 4).collect()))
+
+    def copied(*_):
+        raise AssertionError("queries were copied to every block of items")
+
+    monkeypatch.setattr(retrieval, "nearest_items", copied)
+    assert sorted(map(str, retrieval.cosine_recs(queries, once, seen, 4).collect())) == sent == repeated
+
+
+def test_a_scan_keeps_its_number_of_tasks(spark):
+    queries = spark.createDataFrame(unit_rows(30, 6, 2), "session_id long, vector array<double>")
+    items = spark.createDataFrame(unit_rows(35, 6, 1), "item_idx int, vector array<double>")
+    recs = retrieval.cosine_recs(queries, items, random_path(spark), 4)
+    assert recs.rdd.getNumPartitions() >= retrieval.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+
+
 def test_last_prefix_is_the_last_row_of_all_prefixes(spark):
     clicks = materialise(random_path(spark, 5))
     vectors = spark.createDataFrame(unit_rows(35, 4, 1), "item_idx int, vector array<double>")

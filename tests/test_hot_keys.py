@@ -1,14 +1,16 @@
 """Split and blocked paths give what the plain computation gives."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trailmill import scale
-from trailmill.operators import catalogue, factors, graph, pooling, recommend, retrieval, rules, sequences
+from trailmill.operators import catalogue, cooccurrence, factors, graph, pooling, recommend, retrieval, rules, sequences
 from trailmill.operators.cooccurrence import pair_sums
 from trailmill.scale import materialise
 
@@ -318,6 +320,19 @@ def test_a_scan_keeps_its_number_of_tasks(spark):
     assert recs.rdd.getNumPartitions() >= retrieval.TASKS_A_CORE * spark.sparkContext.defaultParallelism
 
 
+def test_pair_sums_hold_little_at_once():
+    rng = np.random.default_rng(3)
+    baskets = [np.sort(rng.choice(60_000, 25, replace=False)) for _ in range(4_000)]
+    batch = pd.DataFrame({"_group": ["a"] * len(baskets), "left_items": baskets, "left_w": [np.ones(25, np.int64)] * len(baskets),
+                          "right_items": [b[:0] for b in baskets], "right_w": [np.ones(0, np.int64)] * len(baskets)})
+    tracemalloc.start()
+    total = sum(int(part["total"].sum()) for part in cooccurrence.combine_pairs(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total == len(baskets) * 25 * 24 // 2
+    assert peak < 120 << 20
+
+
 def test_last_prefix_is_the_last_row_of_all_prefixes(spark):
     clicks = materialise(random_path(spark, 5))
     vectors = spark.createDataFrame(unit_rows(35, 4, 1), "item_idx int, vector array<double>")

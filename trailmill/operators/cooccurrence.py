@@ -18,8 +18,10 @@ from trailmill.scale import bounded_side, counted, materialise
 from trailmill.schema import SESSION
 
 TILE = 512
-PAIRS_AT_ONCE = 4_000_000
-FLUSH_ROWS = 1_000_000
+#: Pairs that a task makes at once, some 100 bytes each, and sums that it holds; equal sums that left apart meet in the partial
+#: aggregate behind it, which can spill.
+PAIRS_AT_ONCE = 1 << 19
+FLUSH_ROWS = 1 << 17
 
 
 def tile_sessions(rows: DataFrame, tile: int, item: str = "_item") -> tuple[DataFrame, bool]:

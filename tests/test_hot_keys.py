@@ -2,6 +2,7 @@
 
 import random
 import tracemalloc
+from datetime import date
 
 import numpy as np
 import pandas as pd
@@ -9,9 +10,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from trailmill import scale
+from trailmill import plans, scale
 from trailmill.operators import catalogue, cooccurrence, factors, graph, pooling, recommend, retrieval, rules, sequences
 from trailmill.operators.cooccurrence import pair_sums
+from trailmill.plans import model_queries
 from trailmill.scale import materialise
 
 
@@ -317,7 +319,7 @@ def test_a_scan_keeps_its_number_of_tasks(spark):
     queries = spark.createDataFrame(unit_rows(30, 6, 2), "session_id long, vector array<double>")
     items = spark.createDataFrame(unit_rows(35, 6, 1), "item_idx int, vector array<double>")
     recs = retrieval.cosine_recs(queries, items, random_path(spark), 4)
-    assert recs.rdd.getNumPartitions() >= retrieval.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    assert recs.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
 
 
 def test_pair_sums_hold_little_at_once():
@@ -333,6 +335,39 @@ def test_pair_sums_hold_little_at_once():
     assert peak < 120 << 20
 
 
+@pytest.mark.parametrize("repeated", [False, True])
+def test_mean_pool_over_null_sessions_and_repeated_items(spark, repeated):
+    rng = np.random.default_rng(5)
+    rows = [(None if s == 0 else s, f"I{i}") for s, i in zip(rng.integers(0, 9, 300).tolist(), rng.integers(0, 25, 300).tolist())]
+    known = [(f"I{i}", v) for i, v in unit_rows(20, 4, 1)]
+    known += known[:3] if repeated else []
+    got = pooling.mean_pool(
+        spark.createDataFrame(rows, "session_id long, item_id string"), spark.createDataFrame(known, "item_id string, vector array<double>")
+    ).collect()
+    want = {}
+    for s, i in rows:
+        want.setdefault(s, []).extend(v for item, v in known if item == i)
+    assert {r.session_id for r in got} == {s for s, v in want.items() if v}
+    for r in got:
+        mean = np.mean(want[r.session_id], axis=0)
+        assert np.allclose(r.pooled, mean) and np.allclose(r.unit, mean / np.linalg.norm(mean))
+
+
+def test_session_clusters_reads_the_clicks_once(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(s, o, f"K{i}", i, 1, 1, 1, 1, 2.0, 1, "view", date(2024, 1, 1)) for s in range(40) for o, i in enumerate(rng.integers(0, 6, 9).tolist(), 1)]
+    columns = "session_id long, click_order int, item_id string, item_no int, country int, colour int, location int, photo_type int, price double, page int, category string, click_date date"
+    calls = []
+
+    def found(*_):
+        calls.append(1)
+        return spark.createDataFrame(rows, columns)
+
+    monkeypatch.setattr(model_queries, "clicks", found)
+    plans.all_queries()["session_clusters"](spark, "none").collect()
+    assert len(calls) == 1
+
+
 def test_last_prefix_is_the_last_row_of_all_prefixes(spark):
     clicks = materialise(random_path(spark, 5))
     vectors = spark.createDataFrame(unit_rows(35, 4, 1), "item_idx int, vector array<double>")

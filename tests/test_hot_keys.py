@@ -336,14 +336,13 @@ def test_pair_sums_hold_little_at_once():
 
 
 @pytest.mark.parametrize("repeated", [False, True])
-def test_mean_pool_over_null_sessions_and_repeated_items(spark, repeated):
+def test_mean_pool_over_null_sessions_repeated_items_and_null_vectors(spark, repeated):
     rng = np.random.default_rng(5)
     rows = [(None if s == 0 else s, f"I{i}") for s, i in zip(rng.integers(0, 9, 300).tolist(), rng.integers(0, 25, 300).tolist())]
     known = [(f"I{i}", v) for i, v in unit_rows(20, 4, 1)]
     known += known[:3] if repeated else []
-    got = pooling.mean_pool(
-        spark.createDataFrame(rows, "session_id long, item_id string"), spark.createDataFrame(known, "item_id string, vector array<double>")
-    ).collect()
+    vectors = spark.createDataFrame([*known, ("I24", None), (None, [1.0] * 4)], "item_id string, vector array<double>")
+    got = pooling.mean_pool(spark.createDataFrame(rows, "session_id long, item_id string"), vectors).collect()
     want = {}
     for s, i in rows:
         want.setdefault(s, []).extend(v for item, v in known if item == i)

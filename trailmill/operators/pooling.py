@@ -32,13 +32,15 @@ def mean_pool(clicks: DataFrame, vectors: DataFrame, item: str = ITEM) -> DataFr
     Repeated items are counted before their vectors are joined.
     """
     counts = clicks.groupBy(SESSION, item).agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    known = materialise(vectors.select(item, "vector").withColumn("_no", F.monotonically_increasing_id()))
-    n, distinct = known.filter(F.col(item).isNotNull()).agg(F.count(F.lit(1)), F.count_distinct(item)).first()
-    if n == distinct > 0:
+    given = vectors.select(item, "vector").filter(F.col(item).isNotNull() & F.col("vector").isNotNull())
+    known = materialise(given.withColumn("_no", F.monotonically_increasing_id()))
+    gaps = F.count_if(F.exists("vector", F.isnull))
+    n, distinct, broken = known.agg(F.count(F.lit(1)), F.count_distinct(item), gaps).first()
+    if n == distinct and not broken:
         numbered = counts.join(hinted(known.select(item, "_no"), is_small(n)), item)
         pooled = weighted_pool(numbered.select(SESSION, "_no", "weight"), known, "_no", mean=True)
         pooled = pooled.withColumnRenamed("vector", "pooled")
-    else:  # an item with several vectors counts with each of them
+    else:  # an item with several vectors counts with each of them; a vector with gaps is an error of the mean
         joined = counts.join(bounded_side(known.select(item, "vector")), item)
         mean = Summarizer.mean(array_to_vector("vector"), F.col("weight"))
         pooled = joined.groupBy(SESSION).agg(vector_to_array(mean).alias("pooled"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from threading import Event
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 
@@ -10,8 +13,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from trailmill.functions.arrays import unit
-from trailmill.operators import catalogue, clusters, explore, features, topics
-from trailmill.scale import materialise
+from trailmill.operators import catalogue, clusters, evaluate, explore, features, topics
+from trailmill.plans.recommend_queries import metric_rows
+from trailmill.scale import beside, materialise
 from trailmill.sources import tables
 
 
@@ -123,3 +127,61 @@ def test_summary_tells_sessions_apart_for_regions_only(spark):
     row = explore.summary_row(spark.createDataFrame(rows, "session_id long, region string, category string, colour string"))
     assert tuple(row.first()) == (6, "S", 2, "a", 3, "x", 3)
     assert "(dimension" in (plan := row._jdf.queryExecution().optimizedPlan().toString()) and "= region) THEN session_id" in plan
+
+
+def held_out(spark, models):
+    """Sessions without lists, lists without sessions, null keys, repeated rows, an item without training clicks and a model without lists."""
+    truth = [(1, 1, True), (2, 5, False), (3, 2, True), (3, 4, False), (3, 4, False), (4, 1, True), (6, 0, None), (None, 1, True)]
+    train = [(9, 0, 3), (9, 1, 1), (10, 2, 4), (10, 5, 2)]
+    lists = [(1, 2, 1), (1, 1, 2), (2, 5, 1), (2, 5, 3), (3, 4, 1), (3, 2, 11), (3, 9, 2), (5, 0, 1), (6, 0, 1), (None, 1, 1)]
+    parts = {m: [(s, (i + n) % 10 if n else i, r) for s, i, r in lists[n:]] if m != "empty" else [] for n, m in enumerate(models)}
+    t = SimpleNamespace(
+        truth=spark.createDataFrame(truth, "session_id long, item_idx int, is_cold boolean"),
+        train=spark.createDataFrame(train, "session_id long, item_idx int, click_count long"),
+        index=spark.range(10),
+    )
+    return t, {m: spark.createDataFrame(rows, "session_id long, item_idx int, rank int") for m, rows in parts.items()}
+
+
+def test_metrics_of_all_models_are_those_of_each(spark):
+    t, models = held_out(spark, ["a", "b", "c", "empty"])
+    want = {}
+    for track, truth in (("warm", t.truth), ("cold", t.truth.filter("is_cold"))):
+        for model, recs in models.items():
+            own = recs if track == "warm" else recs.join(truth.select("session_id"), "session_id", "left_semi")
+            for row in (evaluate.rank_metrics(own, truth).first(), evaluate.coverage_novelty(own, t.train, 10).first()):
+                want |= {(track, model, name): value for name, value in row.asDict().items() if name not in ("sessions", "unique_items")}
+    found = {(r.track, r.model, r.metric): r.value for r in metric_rows(t, models).collect()}
+    assert found.keys() == want.keys() and len(found) == 40
+    for key, value in want.items():
+        assert found[key] == (None if value is None else pytest.approx(value, abs=1e-9)), key
+    nobody = SimpleNamespace(truth=t.truth.limit(0), train=t.train, index=t.index)
+    empty = {(r.track, r.metric): r.value for r in metric_rows(nobody, {"a": models["a"]}).collect()}
+    assert empty["warm", "mrr"] is None and empty["cold", "coverage"] == 0 and empty["cold", "novelty"] is None and empty["warm", "coverage"] > 0
+
+
+def test_metrics_take_no_more_jobs_for_more_models(spark):
+    jobs = []
+    for names in (["a"], ["a", "b", "c", "d", "empty"]):
+        t, models = held_out(spark, names)
+        spark.sparkContext.setJobGroup(group := f"metrics of {len(names)}", group)
+        metric_rows(t, {m: materialise(recs) for m, recs in models.items()})
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) - len(names))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1] > 0
+
+
+def test_work_beside_does_not_hold_up_the_block(spark):
+    started, go_on = Event(), Event()
+
+    def work():
+        started.set()
+        assert go_on.wait(60)
+        return spark.range(5).count()
+
+    with beside(spark, work) as done:
+        assert started.wait(60) and not done.done() and spark.range(3).count() == 3
+        go_on.set()
+        assert done.result() == 5
+    with pytest.raises(ZeroDivisionError), beside(spark, lambda: 1 // 0) as done:
+        done.result()

@@ -2,8 +2,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from edge import frame, odd_texts, prose
+from pyspark.sql import functions as F
 
 from trailmill.llm import ngram_join
 
@@ -123,3 +125,88 @@ def test_rows_are_told_apart_by_id_and_text(spark):
     assert sorted((r["doc_id"], r["text"]) for r in kept) == [(2, a), (5, b)]
     nameless = ngram_join.one_per_component(frame(spark, [a, a + " more"], ids=[None, None])).collect()
     assert len(nameless) == 1
+
+
+def test_parity_bits_never_exceed_the_differing_tokens():
+    rnd = np.random.default_rng(7)
+    for size in (1, 9, 40, 300, 2_000):
+        for edits in (0, 1, 5, 40, 600):
+            base = np.unique(rnd.integers(0, 2**64, size, dtype=np.uint64))
+            other = np.unique(np.concatenate([base[edits:], rnd.integers(0, 2**64, edits, dtype=np.uint64)]))
+            apart = ngram_join.parity(base).view(np.uint64) ^ ngram_join.parity(other).view(np.uint64)
+            assert np.bitwise_count(apart).sum() <= len(np.setxor1d(base, other))
+
+
+def test_differences_come_back():
+    for values in ([], [0], [5, 5, 9], [3, 2**40, 2**63]):
+        given = np.array(values, dtype=np.uint64)
+        assert ngram_join.summed(ngram_join.differences(given)).tolist() == values
+
+
+def test_sets_that_share_a_key_by_chance_are_not_chained(spark):
+    """Every set shares a key with the next one, and only one pair is alike; all were one coarse group before."""
+    rnd = np.random.default_rng(2)
+    sets = [np.unique(rnd.integers(0, 2**64, 100, dtype=np.uint64)) for _ in range(200)]
+    sets.append(np.append(sets[7][2:], np.uint64(1)))
+    keys = [[i, i + 1] for i in range(200)] + [[7]]
+    rows = [
+        (i, f"r{i}", ngram_join.set_hash(t), len(t), ngram_join.mix(np.array(k, dtype=np.uint64)).view(np.int64).tolist(), ngram_join.parity(t).tolist())
+        for i, (t, k) in enumerate(zip(sets, keys, strict=True))
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, row string, node long, n_shingles long, keys array<long>, parity array<long>")
+    nodes = df.groupBy("node").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("copies"))
+    assert ngram_join.components(ngram_join.common_keys(df)).count() == 201
+    found = ngram_join.components(ngram_join.near_pairs(df, nodes, 90)).collect()
+    assert {r["node"] for r in found} == {rows[7][2], rows[200][2]}
+
+
+def test_only_shared_keys_are_exchanged(spark):
+    texts = [prose(60, i) for i in range(400)] + [prose(60, 5) + " tail", prose(60, 6)]
+    rows = ngram_join.stored(ngram_join.indexed(frame(spark, texts), 3, 90), "sets")
+    nodes = rows.groupBy("node").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("copies"))
+    copies = ngram_join.copied_sets(nodes)
+    some = {(r["key"], r["node"]) for r in ngram_join.shared_entries(rows, copies, ngram_join.shared_bits(rows, copies)).collect()}
+    every = {(k, r["node"]) for r in rows.collect() for k in r["keys"]}
+    held = {}
+    for key, node in every:
+        held.setdefault(key, set()).add(node)
+    shared = {(k, n) for k, found in held.items() if len(found) > 1 for n in found}
+    assert shared and shared <= some <= every and len(some) < len(every) // 10
+
+
+@pytest.mark.parametrize("together", [1, 3, 4_096])
+def test_keys_of_any_size_are_joined_in_any_batches(together, monkeypatch):
+    """Links of sorted rows against those of all pairs; beyond ``together`` a key is one group."""
+    monkeypatch.setattr(ngram_join, "TOGETHER", together)
+    rnd = np.random.default_rng(together)
+    rows = []
+    for key in range(40):
+        base = [rnd.integers(0, 2**64, 60, dtype=np.uint64) for _ in range(3)]
+        for _ in range(int(rnd.integers(1, 9))):
+            tokens = base[rnd.integers(0, 3)].copy()
+            tokens[: rnd.integers(0, 8)] += np.uint64(1)
+            rows.append((key - 20, int(rnd.integers(0, 10**6)), 60, *ngram_join.parity(tokens).tolist()))
+    rows += rnd.permutation(np.array(rows, dtype=np.int64))[:30].tolist()
+    rows = sorted(map(tuple, rows))
+    names = ["key", "node", "n", "p0", "p1", "p2", "p3"]
+    table = pa.table({c: pa.array(v, pa.int64()) for c, v in zip(names, zip(*rows, strict=True), strict=True)})
+
+    def groups(edges):
+        root = {n: n for e in edges for n in e}
+        for a, b in edges:
+            old, new = root[a], root[b]
+            root = {n: new if r == old else r for n, r in root.items()}
+        return {frozenset(n for n in root if root[n] == r) for r in root.values()}
+
+    want = []
+    for key in {r[0] for r in rows}:
+        own = sorted({r[1:] for r in rows if r[0] == key})
+        for i, a in enumerate(own):
+            for b in own[:i]:
+                apart = sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a[2:], b[2:], strict=True))
+                if len(own) > together or apart * 190 <= 120 * 10:
+                    want.append((a[0], b[0]))
+    for size in (1, 7, 1_000):
+        batches = list(ngram_join.likely_links(90)(iter(table.to_batches(size))))
+        got = [tuple(r.values()) for batch in batches for r in batch.to_pylist()]
+        assert groups(got) == groups(want)

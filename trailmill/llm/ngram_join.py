@@ -17,7 +17,13 @@ Sets above ``RARE_SIZE`` tokens have long prefixes, in which tokens that are rar
 for them every class counts as frequent, so they are indexed by combinations of about six tokens alone. Frequent tokens, as those of
 a common passage, never make a key of their own. Equal sets are one node, so sets of d = 0 need no key.
 
-Sets that share a key form coarse groups. A group is cut into blocks, and every pair of blocks is verified
+Most keys belong to one set alone. They are told apart first: tasks list sorted classes of their keys as differences, about two
+bytes each, and what is met more than once sets a bit in a table of bounded size that is sent to all tasks; only keys that meet
+a set bit are exchanged. A key that a few sets share by chance would, over many documents, chain all sets into one
+group, so sets travel beside their keys with ``PARITY`` bits, each the parity of the tokens that fall there. Two sets differ
+in at least as many tokens as bits, so pairs beyond the most tokens in which linked sets differ are left out without looking at tokens.
+
+Pairs of sets that are left form coarse groups. A group is cut into blocks, and every pair of blocks is verified
 exactly by one matrix product in a task that holds two blocks, which returns at most one link per set.
 Components of these links are exact; no pairs of documents become rows. Tokens and sets are 64-bit hashes.
 
@@ -33,6 +39,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +58,14 @@ CLASSES = 1 << 18
 RARE_SIZE = 360
 #: Most keys (16 bytes each) that are sent to all tasks.
 SENT_KEYS = 2_000_000
+#: Most sets with several rows (16 bytes each) that are sent to all tasks, so that one row stands for each of them.
+SENT_COPIES = 4_000_000
+#: Parity bits of a set, as 64-bit numbers.
+PARITY = 256
+#: Most bits, as a power of two, of the table that says which keys may be shared, and how many keys a task lists at once.
+TABLE_BITS, LISTED = 28, 2_000_000
+#: Most sets of one key that are compared pair by pair; beyond it all of them go into one coarse group.
+TOGETHER = 4_096
 #: Characters of the contract that are lower-cased, and what they become.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -152,6 +168,12 @@ class Index:
         return np.concatenate([singles, combined[enough]])
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """``PARITY`` bits as signed 64-bit numbers, each the parity of the number of tokens that fall there."""
+    counts = np.bincount((tokens & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def row_key() -> Column:
     """Identity of a row: its id and a digest of its text."""
     text = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
@@ -159,30 +181,225 @@ def row_key() -> Column:
 
 
 def indexed(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, row, node, n_shingles and keys of every row."""
+    """doc_id, row, node, n_shingles, keys and parity bits of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     counts = docs.sparkSession.sparkContext.broadcast(class_counts(docs, width))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(percent, counts.value)
         for batch in batches:
-            nodes, sizes, keys = [], [], []
+            nodes, sizes, keys, bits = [], [], [], []
             for tokens in shingle_sets(batch.column("text"), width):
                 nodes.append(set_hash(tokens))
                 sizes.append(len(tokens))
                 keys.append(index.keys(tokens))
-            places = np.cumsum([0, *map(len, keys)]).astype(np.int32)
-            flat = np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)
+                bits.append(parity(tokens))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("row"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
-                    pa.ListArray.from_arrays(places, flat),
+                    list_rows(keys), list_rows(bits),
                 ],
-                ["doc_id", "row", "node", "n_shingles", "keys"],
+                ["doc_id", "row", "node", "n_shingles", "keys", "parity"],
             )
 
     rows = docs.select("doc_id", row_key().alias("row"), "text")
-    return rows.mapInArrow(keyed, f"doc_id {kind}, row string, node long, n_shingles long, keys array<long>")
+    return rows.mapInArrow(keyed, f"doc_id {kind}, row string, node long, n_shingles long, keys array<long>, parity array<long>")
+
+
+def list_rows(values: list[np.ndarray]) -> pa.ListArray:
+    places = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    return pa.ListArray.from_arrays(places, np.concatenate(values) if values else np.zeros(0, dtype=np.int64))
+
+
+def differences(values: np.ndarray) -> bytes:
+    """Sorted numbers as differences, bytes of equal weight together, so that zeros of the high ones compress to nothing."""
+    gaps = np.diff(values, prepend=np.uint64(0))
+    return gaps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def summed(data: bytes) -> np.ndarray:
+    """The numbers of ``differences``."""
+    planes = np.frombuffer(data, dtype=np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def repeated(values: np.ndarray) -> np.ndarray:
+    """Distinct numbers that come more than once among sorted ones."""
+    return np.unique(values[1:][values[1:] == values[:-1]])
+
+
+class Chosen:
+    """Rows that stand for their sets: all but further rows of the sets that are named."""
+
+    def __init__(self, copies: Broadcast):
+        self.nodes, self.places = copies.value
+
+    def __call__(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        if not len(self.nodes) or not batch.num_rows:
+            return batch
+        nodes, places = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "place"))
+        at = np.minimum(np.searchsorted(self.nodes, nodes), len(self.nodes) - 1)
+        return batch.filter(pa.array((self.nodes[at] != nodes) | (self.places[at] == places)))
+
+
+def copied_sets(nodes: DataFrame) -> Broadcast:
+    """Sets with several rows and the place of the row that stands for each, sorted and sent to all tasks; a bounded number of them."""
+    table = nodes.where("copies > 1").select("node", F.xxhash64("row").alias("place")).limit(SENT_COPIES).toArrow()
+    found = [table.column(c).to_numpy() for c in ("node", "place")]
+    order = np.argsort(found[0])
+    return nodes.sparkSession.sparkContext.broadcast(tuple(c[order] for c in found))
+
+
+def shared_bits(rows: DataFrame, copies: Broadcast) -> Broadcast:
+    """Bits by the leading bits of a key: set for every key that two sets share, and for few others.
+
+    Keys fall into classes, some 128 times as many as there are keys, and a range of classes is looked through in one task.
+    """
+    total = rows.agg(F.sum(F.size("keys"))).first()[0] or 0
+    spark, size = rows.sparkSession, int(total).bit_length()
+    bits, table = max(10, min(size + 7, 62)), max(10, min(size + 2, TABLE_BITS))
+    split = min(table - 3, max(total // LISTED, spark.sparkContext.defaultParallelism).bit_length())
+
+    def listed(keys: list[np.ndarray]) -> pa.RecordBatch:
+        values = np.sort(np.concatenate(keys).view(np.uint64) >> np.uint64(64 - bits))
+        twice, once = repeated(values), np.unique(values)
+        edges = np.arange((1 << split) + 1, dtype=np.uint64) << np.uint64(bits - split)
+        cuts = [np.searchsorted(v, edges) for v in (once, twice)]
+        held = np.flatnonzero(np.diff(cuts[0]))
+        lists = [[differences(v[c[r] : c[r + 1]] - edges[r]) for r in held] for v, c in zip((once, twice), cuts, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), *(pa.array(x, pa.binary()) for x in lists)], ["part", "once", "twice"])
+
+    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen, keys = Chosen(copies), []
+        for batch in batches:
+            keys.append(chosen(batch).column("keys").flatten().to_numpy())
+            if sum(map(len, keys)) >= LISTED:
+                yield listed(keys)
+                keys = []
+        if sum(map(len, keys)):
+            yield listed(keys)
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists: dict[int, list[list[np.ndarray]]] = {}
+        for batch in batches:
+            for part, *data in zip(*(batch.column(c).to_pylist() for c in ("part", "once", "twice")), strict=True):
+                for held, some in zip(lists.setdefault(part, [[], []]), data, strict=True):
+                    held.append(summed(some))
+        for part, (once, twice) in lists.items():
+            found = np.concatenate([repeated(np.sort(np.concatenate(once))), *twice])
+            held = np.zeros(1 << (table - split), dtype=np.uint8)
+            held[(found >> np.uint64(bits - table)).astype(np.int64)] = 1
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(held).tobytes()], pa.binary())], ["part", "bits"])
+
+    given = rows.where("n_shingles > 0").select("node", F.xxhash64("row").alias("place"), "keys")
+    parts = given.mapInArrow(listing, "part int, once binary, twice binary").repartition(1 << split, "part")
+    out = np.zeros((1 << split, (1 << (table - split)) // 8), dtype=np.uint8)
+    for part, data in zip(*(c.to_pylist() for c in parts.mapInArrow(met, "part int, bits binary").toArrow().columns), strict=True):
+        out[part] = np.frombuffer(data, dtype=np.uint8)
+    return spark.sparkContext.broadcast((table, out.ravel()))
+
+
+def shared_entries(rows: DataFrame, copies: Broadcast, bits: Broadcast) -> DataFrame:
+    """key, node, n and parity bits of the sets whose keys may be shared, one row of each set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen, (table, held) = Chosen(copies), bits.value
+        for batch in batches:
+            batch = chosen(batch)
+            keys = batch.column("keys").flatten().to_numpy()
+            place = (keys.view(np.uint64) >> np.uint64(64 - table)).astype(np.int64)
+            kept = np.flatnonzero(held[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1)
+            owner = pc.list_parent_indices(batch.column("keys")).to_numpy()[kept]
+            words = batch.column("parity").flatten().to_numpy().reshape(-1, PARITY // 64)[owner]
+            given = batch.select(["node", "n_shingles"]).take(pa.array(owner)).columns
+            yield pa.RecordBatch.from_arrays([pa.array(keys[kept]), *given, *(pa.array(w) for w in np.ascontiguousarray(words.T))], names)
+
+    names = ["key", "node", "n", *(f"p{i}" for i in range(PARITY // 64))]
+    given = rows.where("n_shingles > 0").select("node", "n_shingles", F.xxhash64("row").alias("place"), "keys", "parity")
+    return given.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+
+
+def joined(labels: np.ndarray, left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Labels, each the smallest position of a component, after further links."""
+    a, b = np.concatenate(left), np.concatenate(right)
+    while True:
+        least = np.minimum(labels[a], labels[b])
+        after = labels.copy()
+        for ends in (a, b, labels[a], labels[b]):
+            np.minimum.at(after, ends, least)
+        after = after[after]
+        if (after == labels).all():
+            return labels
+        labels = after
+
+
+def near_labels(keys: np.ndarray, sizes: np.ndarray, words: np.ndarray, percent: int) -> np.ndarray:
+    """For each row the smallest position of its component, where rows of one key whose parity bits allow a link are joined.
+
+    Rows are sorted by key. Rows that are together already are not compared; a key with more rows than ``TOGETHER`` is one component.
+    """
+    labels = np.arange(len(keys))
+    begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    counts = np.diff(np.append(begins, len(keys)))
+    first, last = np.repeat(begins, counts), np.repeat(begins + counts, counts)
+    large = np.repeat(counts > TOGETHER, counts)
+    labels[large] = first[large]
+    rows, shift, left, right, waiting = np.flatnonzero(~large & (last - first > 1)), 1, [], [], 0
+    while len(rows := rows[rows + shift < last[rows]]):
+        open_ = rows[labels[rows] != labels[rows + shift]]
+        for begin in range(0, len(open_), 1 << 17):
+            a = open_[begin : begin + (1 << 17)]
+            b = a + shift
+            apart = np.bitwise_count(words[a] ^ words[b]).sum(axis=1, dtype=np.int64)
+            near = apart * (100 + percent) <= (sizes[a] + sizes[b]) * (100 - percent)
+            left.append(a[near])
+            right.append(b[near])
+            waiting += int(near.sum())
+        if waiting > len(keys) // 8:
+            labels, left, right, waiting = joined(labels, left, right), [], [], 0
+        shift += 1
+    return joined(labels, left, right) if waiting else labels
+
+
+def likely_links(percent: int):
+    """Links (a, b) of sorted rows (key, node, n and parity bits): one row per set that may link with another one of its key."""
+
+    def fresh(table: pa.Table) -> pa.Table:
+        """Each set of a key once."""
+        keys, nodes = (table.column(c).to_numpy() for c in ("key", "node"))
+        return table.filter(pa.array(np.append(True, (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1]))))
+
+    def links(table: pa.Table) -> pa.RecordBatch:
+        keys, nodes, sizes, *words = (c.to_numpy() for c in fresh(table).columns)
+        # unsigned: of a negative number the bits of its absolute value would be counted
+        labels = near_labels(keys, sizes, np.stack(words, axis=1).view(np.uint64), percent)
+        moved = np.flatnonzero(labels != np.arange(len(keys)))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[labels[moved]])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            keys = batch.column("key").to_numpy()
+            if not len(keys):
+                continue
+            begin = int(np.searchsorted(keys, keys[-1]))  # of the last key, which may go on
+            if begin:
+                yield links(pa.Table.from_batches([*held, batch.slice(0, begin)]))
+                held = []
+            elif held and held[-1].column("key")[-1].as_py() != keys[0]:
+                yield links(pa.Table.from_batches(held))
+                held = []
+            held.append(batch.slice(begin))
+            if sum(b.num_rows for b in held) > 2 * TOGETHER:
+                table = fresh(pa.Table.from_batches(held))
+                if table.num_rows > 2 * TOGETHER:  # a very common key: the rows so far are one group, the first ones stand for it
+                    yield links(table)
+                    table = table.slice(0, TOGETHER + 1)
+                held = table.combine_chunks().to_batches()
+        if held:
+            yield links(pa.Table.from_batches(held))
+
+    return run
 
 
 def linked_labels(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -288,16 +505,30 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bl
     return linked_sets(docs, stored(indexed(docs, width, percent), "sets"), width, percent, block)
 
 
-def linked_sets(docs: DataFrame, rows: DataFrame, width: int, percent: int, block: int) -> DataFrame:
-    """Components of exact links among the sets of ``rows`` (doc_id, row, node, n_shingles, keys) that share a key."""
-    nodes = stored(
-        rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("node_id"), F.min("row").alias("row")), "nodes"
-    )
+def common_keys(rows: DataFrame) -> DataFrame:
+    """Links (a, b) of every set with the smallest one that shares a key."""
     entries = rows.select("node", F.explode("keys").alias("key"))
     ends = entries.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("most"))
     shared = stored(ends.where("b < most").drop("most"), "keys")
-    coarse = entries.join(hinted(shared, shared.count() <= SENT_KEYS), "key").select(F.col("node").alias("a"), "b")
-    groups = components(coarse)
+    return entries.join(hinted(shared, shared.count() <= SENT_KEYS), "key").select(F.col("node").alias("a"), "b")
+
+
+def near_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join all pairs of sets which share a key and may link by their parity bits."""
+    copies = copied_sets(nodes)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries = shared_entries(rows, copies, shared_bits(rows, copies)).repartition(parts, "key")
+    return entries.sortWithinPartitions("key", "node").mapInArrow(likely_links(percent), "a long, b long")
+
+
+def linked_sets(docs: DataFrame, rows: DataFrame, width: int, percent: int, block: int) -> DataFrame:
+    """Components of exact links among the sets of ``rows`` (doc_id, row, node, n_shingles, keys) that share a key.
+
+    With the parity bits of the sets in ``rows``, only pairs that may link by these are looked at.
+    """
+    known = rows.where("n_shingles > 0").groupBy("node")
+    nodes = stored(known.agg(F.min("doc_id").alias("node_id"), F.min("row").alias("row"), F.count(F.lit(1)).alias("copies")), "nodes")
+    groups = components(near_pairs(rows, nodes, percent) if "parity" in rows.columns else common_keys(rows))
     members = bounded_side(blocked(groups, block).join(nodes.select("node", "row"), "node"))
     texts = docs.select(row_key().alias("row"), "text").join(members, "row")
     sets = token_rows(texts, width).select("node", "tokens", F.explode(block_places()).alias("place"))
@@ -313,7 +544,7 @@ def linked_sets(docs: DataFrame, rows: DataFrame, width: int, percent: int, bloc
     named = known.select(
         "node", "node_id", F.coalesce("root", "node").alias("root"), F.coalesce("component_id", "node_id").alias("component_id")
     )
-    out = rows.drop("keys").join(named, "node", "left")
+    out = rows.drop("keys", "parity").join(named, "node", "left")
     return out.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
 
 

@@ -210,3 +210,13 @@ def test_keys_of_any_size_are_joined_in_any_batches(together, monkeypatch):
         batches = list(ngram_join.likely_links(90)(iter(table.to_batches(size))))
         got = [tuple(r.values()) for batch in batches for r in batch.to_pylist()]
         assert groups(got) == groups(want)
+
+
+def test_rows_without_copies_do_not_move(spark, monkeypatch):
+    """Only rows marked by a hash meet the sides that are too large to send; all rows did before."""
+    monkeypatch.setattr("trailmill.scale.BROADCAST_ROWS", 0)
+    rnd, base = random.Random(1), prose(200, 3)
+    docs = frame(spark, [base, base, edited(base, 1, rnd), prose(200, 4), None, "", prose(90, 1)], ids=[5, 5, 9, 1, 7, 8, 3])
+    kept = ngram_join.one_per_component(docs)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 5, 7, 8]
+    assert "BroadcastHashJoin [mark" in kept._jdf.queryExecution().executedPlan().toString()

@@ -560,9 +560,13 @@ def one_per_component(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     gone = found.select("row").distinct().join(first.select("row"), "row", "left_anti")
     again = found.groupBy("row").count().where("count > 1").join(first.select("row"), "row", "left_semi")
     names = docs.columns
-    rows = docs.select(F.struct(*names).alias("_docs_row"), row_key().alias("row"))
+    # most rows are told by a hash to be neither, and do not move
+    marks = stored(gone.union(again.select("row")).select(F.xxhash64("row").alias("mark")).distinct(), "marks")
+    marks = hinted(marks, marks.count() <= SENT_KEYS)
+    rows = docs.select(F.struct(*names).alias("_docs_row"), row_key().alias("row")).withColumn("mark", F.xxhash64("row"))
+    clear, rows = rows.join(marks, "mark", "left_anti"), rows.join(marks, "mark", "left_semi")
     rows = rows.join(bounded_side(gone), "row", "left_anti")
     again = bounded_side(again.select("row"))
     single = rows.join(again, "row", "left_anti")
     repeated = rows.join(again, "row", "left_semi").groupBy("row").agg(F.first("_docs_row").alias("_docs_row"))
-    return single.select("_docs_row.*").union(repeated.select("_docs_row.*"))
+    return clear.select("_docs_row.*").union(single.select("_docs_row.*")).union(repeated.select("_docs_row.*"))

@@ -470,3 +470,32 @@ def test_items_may_be_names(spark):
     rounded = lambda df: sorted(str((r[0], [round(x, 9) for x in r["vector"]])) for r in df.collect())
     for pool in (pooling.decayed_pool, pooling.last_prefix_pool, pooling.prefix_pool):
         assert rounded(pool(clicks, named, 0.3, "name")) == rounded(pool(clicks, vectors, 0.3, "item_idx"))
+
+
+def test_lists_of_single_queries_are_ranked_without_an_exchange(spark):
+    """Equal rows, ties by item number, ids that are null; the lists of all queries were exchanged before."""
+    rnd = np.random.default_rng(4)
+    vector = lambda: rnd.integers(-3, 4, 6).astype(float).tolist()
+    items = spark.createDataFrame([(i, vector()) for i in range(60)], "item_idx int, vector array<double>")
+    ids = [None, *range(79)]
+    queries = spark.createDataFrame([(i, vector()) for i in ids] + [(100, None)], "session_id long, vector array<double>")
+    directions = retrieval.random_directions(3, 6, 1)
+
+    def found(unique):
+        return retrieval.lsh_recs(queries, items, ["session_id"], k=4, bucket=0.4, directions=directions, unique_ids=unique)
+
+    rows = [sorted(map(tuple, found(u).collect()), key=str) for u in (False, True)]
+    assert rows[0] == rows[1] and len(rows[0]) > 100
+    assert found(True).schema.simpleString() == found(False).schema.simpleString()
+    assert "Exchange" not in found(True)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unit_rows_equal_those_of_the_column(spark):
+    from trailmill.functions.arrays import unit
+    from trailmill.operators import catalogue
+
+    rnd = np.random.default_rng(5)
+    rows = [*(rnd.normal(size=9) * 10.0 ** rnd.integers(-160, 160) for _ in range(200)), np.zeros(9), np.full(9, np.inf), np.full(9, np.nan)]
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "i int, vector array<double>")
+    want = np.array([r["u"] for r in df.select("i", unit(F.col("vector")).alias("u")).orderBy("i").collect()])
+    assert np.array_equal(catalogue.units(np.array(rows)), want, equal_nan=True)

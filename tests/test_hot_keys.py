@@ -499,3 +499,10 @@ def test_unit_rows_equal_those_of_the_column(spark):
     df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "i int, vector array<double>")
     want = np.array([r["u"] for r in df.select("i", unit(F.col("vector")).alias("u")).orderBy("i").collect()])
     assert np.array_equal(catalogue.units(np.array(rows)), want, equal_nan=True)
+
+
+def test_few_hits_are_found_in_order():
+    rnd = np.random.default_rng(6)
+    for shape, share in (((3, 5), 0.5), ((40, 1_024), 0.001), ((7, 13), 0.0), ((1, 8), 1.0), ((0, 4), 0.0)):
+        hits = rnd.random(shape) < share
+        assert catalogue.places_set(hits).tolist() == np.flatnonzero(hits).tolist()
